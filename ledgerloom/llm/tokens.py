@@ -22,6 +22,7 @@ import base64
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import ahocorasick
@@ -52,7 +53,7 @@ def _byte_letters() -> dict[str, int]:
 class Encoder:
     """Exact byte-level BPE of one vocabulary."""
 
-    MEMO = 400_000
+    MEMO = 300_000
 
     def __init__(self, path: str = DEFAULT_VOCABULARY):
         vocab, merges = self._load(path)
@@ -67,8 +68,9 @@ class Encoder:
             self.halves.setdefault(vocab[a + b], (*pair, rank))
         self.shorter: dict[int, int | None] = {}
         self.fits: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, list[int]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words = _Memo(self.encode_word, self.MEMO)
+        self.memo = _Memo(self._piece, self.MEMO)
+        self.spaced = _Memo(lambda piece: self._piece(" " + piece), self.MEMO)
         self.automaton = ahocorasick.Automaton()
         for t, i in vocab.items():
             self.automaton.add_word(t, i)
@@ -172,43 +174,47 @@ class Encoder:
         return token in self.halves or self.length[token] == 1
 
     def encode(self, text: str) -> list[int]:
+        out: list[int] = []
+        self.encode_into(text, out)
+        return out
+
+    def encode_into(self, text: str, out: list[int]) -> None:
         if not text:
-            return []
+            return
         if _RUN_OF_SPACE.search(text):
-            pieces = _PIECES.findall(text)
-        else:
-            pieces = text.split(" ")
-            pieces[1:] = [" " + p for p in pieces[1:]]
-            if not pieces[0]:
-                del pieces[0]
-        memo, out = self.memo, []
-        add = out.extend
-        for p in pieces:
-            ids = memo.get(p)
-            add(ids if ids is not None else self._piece(p))
-        return out
+            out.extend(chain.from_iterable(map(self.memo.__getitem__, _PIECES.findall(text))))
+            return
+        first, *rest = text.split(" ")
+        if first:
+            out.extend(self.memo[first])
+        out.extend(chain.from_iterable(map(self.spaced.__getitem__, rest)))
 
     def count(self, text: str) -> int:
         return len(self.encode(text))
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         ids: list[int] = []
-        words = self.words
         for w in PRETOKEN.findall(piece):
-            t = words.get(w)
-            if t is None:
-                t = self.encode_word(w)
-                if len(words) > self.MEMO:
-                    words.clear()
-                words[w] = t
-            ids.extend(t)
-        if len(piece) <= 64:
-            if len(self.memo) > self.MEMO:
-                self.memo.clear()
-            self.memo[piece] = tuple(ids)
+            ids.extend(self.words[w])
         return tuple(ids)
 
 
+class _Memo(dict):
+    """Results by key, computed when missing; emptied when full, and long keys aren't kept."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str):
+        value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
+
+
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -229,10 +235,16 @@ def encode_documents(
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for at in range(0, len(keys), 512):  # small output batches: ids take more room than text
-                part = [None if t is None else enc.encode(t) for t in texts[at : at + 512].to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [keys[at : at + 512], pa.array(part, pa.list_(pa.int32()))], names=[key, "ids"]
+                flat: list[int] = []
+                starts: list[int | None] = []
+                for t in texts[at : at + 512].to_pylist():
+                    starts.append(None if t is None else len(flat))  # a missing start is a NULL list
+                    if t is not None:
+                        enc.encode_into(t, flat)
+                ids = pa.ListArray.from_arrays(
+                    pa.array([*starts, len(flat)], pa.int32()), pa.array(flat, pa.int32())
                 )
+                yield pa.RecordBatch.from_arrays([keys[at : at + 512], ids], names=[key, "ids"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>")
