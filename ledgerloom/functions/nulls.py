@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 NA_WORDS = ("nan", "none", "null", "n/a", "na", "#n/a", "-")
 
 
+# White space as Unicode and Python define it.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    """Trim white space of any kind, as Unicode defines it."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Trim white space of any kind. Looks at the ends only, unlike a pattern."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def clean_str(c: Column) -> Column:

@@ -29,7 +29,7 @@ NAME_MATCH_MIN = 60
 def name_domain_match(name: Column, domain: Column) -> Column:
     """True where the name's first word and the domain's first label resemble each other, or too little is there to tell."""
     w, r = name_word(name), domain_root(domain)
-    unknown = ~(present(name) & present(domain)) | (F.length(w) < 4) | (F.length(r) < 3)
+    unknown = name.isNull() | domain.isNull() | (F.length(w) < 4) | (F.length(r) < 3)
     inside = r.contains(w) | w.contains(r)
     # the costly score is asked only where containment fails: its inputs are NULL elsewhere
     ask = ~unknown & ~inside
@@ -88,7 +88,11 @@ def validate(df: DataFrame, settings: Settings | None = None) -> DataFrame:
     x = with_order(df)
     dup = duplicate_domains(x).select(F.col("domain").alias("_domain"), F.lit(True).alias("_dup"))
     x = x.withColumn("_domain", F.lower(clean_str(F.col("website")))).join(dup, "_domain", "left")
-    v = {c: clean_str(F.col(c)) for c in df.columns if dict(df.dtypes)[c] == "string"}
+    # in stages: cleaned values, then rules, then arrays, so that no expression is written out more than once
+    texts = [*CRITICAL_FIELDS, "email", "phone", *URL_FIELDS, "ceo", "founder", "size", "status"]
+    x = x.withColumn("_v", F.struct(*[clean_str(F.col(c)).alias(c) for c in dict.fromkeys(texts)]))
+    x = x.withColumn("_match", name_domain_match(F.col("_v.name"), F.col("_v.website")))
+    v = {c: F.col(f"_v.{c}") for c in texts}
     bad = {
         "email": ~X.is_email(v["email"]),
         "phone": ~X.phone_ok(v["phone"]),
@@ -97,7 +101,8 @@ def validate(df: DataFrame, settings: Settings | None = None) -> DataFrame:
         "founder": ~X.founders_ok(v["founder"]),
         "size": ~v["size"].isin(*X.SIZE_BANDS),
     }
-    bad = {c: F.coalesce(t, F.lit(False)) for c, t in bad.items()}
+    x = x.withColumn("_bad", F.struct(*[F.coalesce(t, F.lit(False)).alias(c) for c, t in bad.items()]))
+    bad = {c: F.col(f"_bad.{c}") for c in bad}
     score = X.score_int(F.col("confidence_score").cast("string"))
     warn = [
         (F.length(v["description"]) < SHORT_DESCRIPTION, "DESCRIPTION_TOO_SHORT"),
@@ -112,15 +117,14 @@ def validate(df: DataFrame, settings: Settings | None = None) -> DataFrame:
         (v["status"] == "NEEDS_REVIEW", "STATUS_NEEDS_REVIEW"),
         (F.col("_dup"), "DUPLICATE_DOMAIN"),
     ]
-    errors = [F.when(~present(F.col(c)), f"MISSING_{c.upper()}") for c in CRITICAL_FIELDS]
-    x = x.withColumn("_match", name_domain_match(F.col("name"), F.col("website")))
+    errors = [F.when(v[c].isNull(), f"MISSING_{c.upper()}") for c in CRITICAL_FIELDS]
     x = x.withColumns(
         {
             "_issues": F.array_compact(F.array(*errors)),
             "_warnings": F.array_compact(F.array(*[F.when(t, c) for t, c in warn])),
         }
     )
-    return x.withColumns({c: F.when(~t, F.col(c)) for c, t in bad.items()}).drop("_domain", "_dup", "_match")
+    return x.withColumns({c: F.when(~t, F.col(c)) for c, t in bad.items()}).drop("_domain", "_dup", "_match", "_v", "_bad")
 
 
 def issue_counts(validated: DataFrame) -> DataFrame:

@@ -28,5 +28,14 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write df to the shared folder once and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what `cut` wrote for df; df and all that is built on it can't be read any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
