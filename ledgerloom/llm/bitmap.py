@@ -1,0 +1,101 @@
+"""A bitmap of hashes, to drop rows that can't join before they are shuffled.
+
+The bitmap has a fixed number of bits, whatever the data; it is built on the executors from places (2 bytes each, one
+shuffle) and broadcast. Rows whose hash isn't in it have no partner; rows whose hash is may have one, so a join must
+follow. More hashes than bits make it useless, never wrong.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BITS = 27
+_SLOT = 16  # places within a slot fit two bytes
+
+
+def build(hashes: DataFrame, column: str, bits: int = BITS, times: int = 1) -> Broadcast:
+    """Broadcast bitmap of a column of longs, or of lists of longs: places that occur at least `times` (1 or 2) times."""
+    n_slots = 1 << (bits - _SLOT)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = np.sort(_places(b.column(0), bits))
+            slot = p >> _SLOT
+            cuts = np.searchsorted(slot, np.arange(n_slots + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            low = (p & ((1 << _SLOT) - 1)).astype(np.uint16)
+            parts = [low[cuts[k] : cuts[k + 1]].tobytes() for k in full]
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(parts, pa.binary())], names=["slot", "part"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        for b in batches:
+            for s, part in zip(b.column(0).to_pylist(), b.column(1)):
+                if s not in seen:
+                    seen[s] = np.zeros(1 << _SLOT, np.uint8)
+                n = np.bincount(np.frombuffer(part.as_buffer(), np.uint16), minlength=1 << _SLOT)
+                seen[s] = np.minimum(seen[s] + np.minimum(n, 2), 2).astype(np.uint8)
+        if seen:
+            parts = [np.packbits(v >= times, bitorder="little").tobytes() for v in seen.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(parts, pa.binary())], names=["slot", "part"])
+
+    schema = "slot int, part binary"
+    parts = hashes.select(column).mapInArrow(spread, schema).repartition("slot").mapInArrow(merge, schema)
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    size = 1 << (_SLOT - 3)
+    for r in parts.collect():  # the bitmap itself: 2 ** bits / 8 bytes at most
+        out[r["slot"] * size : (r["slot"] + 1) * size] = np.frombuffer(bytes(r["part"]), np.uint8)
+    return hashes.sparkSession.sparkContext.broadcast(out)
+
+
+def _places(values: pa.Array, bits: int) -> np.ndarray:
+    flat = values.flatten() if pa.types.is_list(values.type) else values
+    return np.asarray(flat.drop_null()).astype(np.int64) & ((1 << bits) - 1)
+
+
+def _hits(bitmap: np.ndarray, values: pa.Array) -> np.ndarray:
+    p = np.asarray(values).astype(np.int64) & (len(bitmap) * 8 - 1)
+    return (bitmap[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def keep(df: DataFrame, column: str, *bitmaps: Broadcast) -> DataFrame:
+    """Rows whose hash, or for a list any of whose hashes, may be in one of the bitmaps."""
+
+    def _any(values: pa.Array) -> np.ndarray:
+        return np.logical_or.reduce([_hits(m.value, values) for m in bitmaps])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c = b.column(b.schema.get_field_index(column))
+            if pa.types.is_list(c.type):
+                hit = np.zeros(len(c), bool)
+                hit[np.asarray(pc.list_parent_indices(c))[_any(c.flatten())]] = True
+            else:
+                hit = _any(c)
+            yield b.filter(pa.array(hit))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def explode(df: DataFrame, column: str, *bitmaps: Broadcast) -> DataFrame:
+    """One row per hash of a list column that may be in one of the bitmaps; the column then holds the hash."""
+    schema = ", ".join(f"{n} {'bigint' if n == column else t}" for n, t in df.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index(column)
+            c = b.column(at)
+            flat = c.flatten()
+            hit = pa.array(np.flatnonzero(np.logical_or.reduce([_hits(m.value, flat) for m in bitmaps])))
+            rows = pc.take(pc.list_parent_indices(c), hit)
+            cols = [pc.take(flat, hit) if i == at else pc.take(b.column(i), rows) for i in range(b.num_columns)]
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
+
+    return df.mapInArrow(run, schema)

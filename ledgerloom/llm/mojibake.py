@@ -139,8 +139,8 @@ _HIGH_LATIN = re.compile("^[^\x00-\x7f]*[À-ÿ][^A-Za-z]*$")
 def mend_alone(word: str) -> str | None:
     """Restoration of a word garbled between one-byte encodings, where its own shape gives it away."""
     letters = [ch for ch in word if ch.isalpha() or ch in "¨¸"]
-    if len(letters) >= 3 and _HIGH_LATIN.match(word):
-        # no ASCII letter at all, three or more accented Latin ones: Cyrillic read as Western
+    if len(set(letters)) >= 3 and _HIGH_LATIN.match(word):
+        # no ASCII letter at all, three or more different accented Latin ones: Cyrillic read as Western
         try:
             fixed = word.encode("cp1252").decode("cp1251")
         except (UnicodeEncodeError, UnicodeDecodeError):

@@ -215,7 +215,12 @@ class ReadingModel:
         if len(set(y)) < 2:
             return ReadingModel(kinds, usual, None)
         k = len(kinds)
-        fold = np.arange(len(docs)) % 2
+        # every level is dealt out evenly to both folds, in no order that the ids might have
+        fold = np.zeros(len(docs), int)
+        rng = np.random.default_rng(0)
+        for level in range(k):
+            at = rng.permutation(np.flatnonzero(y == level))
+            fold[at] = np.arange(len(at)) % 2
         x = np.zeros((len(docs), 4 * k), np.float32)
         for f in (0, 1):
             seen, unseen = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
