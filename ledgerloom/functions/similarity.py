@@ -111,15 +111,17 @@ def _shortened(c: Column, most: int) -> Column:
     return out
 
 
-def similar_pairs(keys: DataFrame, threshold: float, key: str = "key", q: int = 3) -> DataFrame:
+def similar_pairs(keys: DataFrame, threshold: float, key: str = "key") -> DataFrame:
     """left, right, score of all pairs of distinct texts with ratio >= threshold (left < right).
 
     Exact prefix filter: with threshold t, texts of length L share at least `need` numbered q-grams with any match, so two
     matches share one of their (grams - need + 1) rarest grams. Pairs meet on those grams only; texts too short for a
     guarantee (five letters at 90) meet on what is left after leaving out letters. Candidates are verified by the exact
-    score. Low thresholds make both filters weak; they are meant for 80 and more.
+    score. Lower thresholds take shorter grams.
     """
     t = float(threshold)
+    # the longest grams for which short texts are no more than one letter from their matches
+    q = next(n for n in (3, 2, 1) if n == 1 or short_bounds(t, n)[1] <= 1)
     shrink = t / (200.0 - t)  # least ratio of lengths
     k = keys.select(F.col(key).alias("s")).filter("s IS NOT NULL").distinct().withColumn("n", F.length("s"))
     longest = F.floor(F.col("n") / F.lit(shrink) + 1e-9)

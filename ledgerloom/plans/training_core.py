@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.nulls import NA_WORDS, SPACES
 from ledgerloom.operators import drift, quality, rejects
 from ledgerloom.runtime import table
 
@@ -60,4 +61,33 @@ def p4_limits(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_loaded, p3_found, p3_table, p4_found, p4_profile, p4_limits)}
 
-SQL: dict[str, str] = {}
+
+def _clean_sql(x: str) -> str:
+    spaces = " || ".join(f"chr({ord(ch)})" for ch in SPACES)
+    t = f"trim({x}, {spaces})"
+    words = ", ".join(f"'{w}'" for w in NA_WORDS)
+    return f"CASE WHEN {t} <> '' AND lower({t}) NOT IN ({words}) THEN {t} END"
+
+
+_WRONG = {
+    "ceo": r"NOT (length(v) >= 2 AND NOT contains(v, '@') AND NOT contains(lower(v), 'http')"
+    r" AND NOT regexp_matches(v, '^[\d\s\-+().]+$') AND regexp_matches(v, '^[A-Za-z\s\-.'']{2,80}$'))",
+    "industry": "regexp_matches(v, '[0-9<>]|http')",
+    "phone": r"length(regexp_replace(v, '\D', '', 'g')) NOT BETWEEN 7 AND 15",
+}
+_CELLS = " UNION ALL ".join(
+    f"SELECT load_no, '{c}' AS column_name, v, {w} AS wrong FROM (SELECT load_no, {_clean_sql(c)} AS v FROM enriched_companies) t"
+    for c, w in _WRONG.items()
+)
+_STATES = f"""SELECT load_no, column_name, sum(n) AS n, coalesce(sum(n) FILTER (v IS NULL), 0) AS missing,
+    coalesce(sum(n) FILTER (wrong), 0) AS wrong, coalesce(max(n) FILTER (v IS NOT NULL), 0) AS top
+  FROM (SELECT load_no, column_name, v, wrong, count(*) AS n FROM ({_CELLS}) c GROUP BY ALL) g GROUP BY ALL"""
+_SHARES = " UNION ALL ".join(
+    f"SELECT load_no, column_name, '{f}' AS finding, {x} / nullif({y}, 0) AS share FROM ({_STATES}) s"
+    for f, x, y in (("missing", "missing", "n"), ("pattern", "wrong", "(n - missing)"), ("top_value", "top", "(n - missing)"))
+)
+
+SQL: dict[str, str] = {
+    "p4_found": f"""SELECT load_no, column_name, finding FROM (SELECT *, abs(share - lag(share) OVER
+        (PARTITION BY column_name, finding ORDER BY load_no)) AS step FROM ({_SHARES}) x) y WHERE step >= 0.15 - 1e-12"""
+}
