@@ -1,6 +1,6 @@
 """A bitmap of hashes, to drop rows that can't join before they are shuffled.
 
-The bitmap has a fixed number of bits, whatever the data; it is built on the executors from places (2 bytes each, one
+The bitmap has at most a fixed number of bits, whatever the data; it is built on the executors from places (2 bytes each, one
 shuffle) and broadcast. Rows whose hash isn't in it have no partner; rows whose hash is may have one, so a join must
 follow. More hashes than bits make it useless, never wrong.
 """
@@ -24,24 +24,32 @@ def build(hashes: DataFrame, column: str, bits: int = BITS, times: int = 1) -> B
     """Broadcast bitmap of a column of longs, or of lists of longs: places that occur at least `times` (1 or 2) times."""
     n_slots = 1 << (bits - _SLOT)
 
+    def parts_of(places: list[np.ndarray]) -> pa.RecordBatch:
+        p = np.sort(np.concatenate(places))
+        cuts = np.searchsorted(p >> _SLOT, np.arange(n_slots + 1))
+        full = np.flatnonzero(np.diff(cuts))
+        low = (p & ((1 << _SLOT) - 1)).astype(np.uint16)
+        parts = [low[cuts[k] : cuts[k + 1]].tobytes() for k in full]
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(parts, pa.binary())], names=["slot", "part"])
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for b in batches:
-            p = np.sort(_places(b.column(0), bits))
-            slot = p >> _SLOT
-            cuts = np.searchsorted(slot, np.arange(n_slots + 1))
-            full = np.flatnonzero(np.diff(cuts))
-            low = (p & ((1 << _SLOT) - 1)).astype(np.uint16)
-            parts = [low[cuts[k] : cuts[k + 1]].tobytes() for k in full]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(parts, pa.binary())], names=["slot", "part"])
+            held.append(_places(b.column(0), bits))
+            if sum(map(len, held)) >= 1 << 20:
+                yield parts_of(held)
+                held = []
+        if held:
+            yield parts_of(held)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, np.ndarray] = {}
         for b in batches:
             for s, part in zip(b.column(0).to_pylist(), b.column(1)):
-                if s not in seen:
-                    seen[s] = np.zeros(1 << _SLOT, np.uint8)
-                n = np.bincount(np.frombuffer(part.as_buffer(), np.uint16), minlength=1 << _SLOT)
-                seen[s] = np.minimum(seen[s] + np.minimum(n, 2), 2).astype(np.uint8)
+                n = seen.setdefault(s, np.zeros(1 << _SLOT, np.uint8))
+                p = np.frombuffer(part.as_buffer(), np.uint16)  # sorted: repeated places stand side by side
+                n[p] = np.minimum(n[p] + 1, 2)
+                n[p[1:][p[1:] == p[:-1]]] = 2
         if seen:
             parts = [np.packbits(v >= times, bitorder="little").tobytes() for v in seen.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int32()), pa.array(parts, pa.binary())], names=["slot", "part"])
@@ -52,6 +60,9 @@ def build(hashes: DataFrame, column: str, bits: int = BITS, times: int = 1) -> B
     size = 1 << (_SLOT - 3)
     for r in parts.collect():  # the bitmap itself: 2 ** bits / 8 bytes at most
         out[r["slot"] * size : (r["slot"] + 1) * size] = np.frombuffer(bytes(r["part"]), np.uint8)
+    # few places: fold the bitmap, so that no more than about a sixteenth of what is sent around is set
+    while len(out) > size and int(np.bitwise_count(out).sum()) * 16 <= len(out) * 8 // 2:
+        out = out[: len(out) // 2] | out[len(out) // 2 :]
     return hashes.sparkSession.sparkContext.broadcast(out)
 
 
