@@ -147,7 +147,8 @@ def counters(validated: DataFrame) -> DataFrame:
         *[F.count_if(present(F.col(c))).alias(f"filled_{c}") for c in COMPLETENESS_FIELDS],
         F.count_if(~present(F.col("ceo"))).alias("missing_ceo"),
         F.count_if(~present(F.col("founder"))).alias("missing_founder"),
-        F.coalesce(F.round(F.avg(score), 2), F.lit(0.0)).alias("average_score"),
+        # decimals add up to the same in any order of rows
+        F.coalesce(F.round(F.avg(score.try_cast("decimal(30,10)")), 2).cast("double"), F.lit(0.0)).alias("average_score"),
         F.coalesce(F.min(score).try_cast("int"), F.lit(0)).alias("min_score"),
         F.coalesce(F.max(score).try_cast("int"), F.lit(0)).alias("max_score"),
     )
