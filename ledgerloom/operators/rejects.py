@@ -69,15 +69,32 @@ LOADED_FIELDS = ("name", "website", "linkedin", "email", "phone", "description")
 
 
 def loaded(judged: DataFrame) -> DataFrame:
-    """The valid rows under canonical fields, all nullable text; other columns stay in the map `extra`."""
-    ok = judged.filter(F.size("errors") == 0)
-    kinds = F.transform("names", header_field)
+    """The valid rows under canonical fields, all nullable text; every other column stays in the array `extra`.
+
+    A field has the value of the first column that stands for it. `extra` holds name and value of all columns that gave
+    no field, in the file's order: unknown ones, known ones outside LOADED_FIELDS and further columns of one field. It is
+    an array and no map, as a header may name two columns alike.
+    """
+    ok = judged.filter(F.size("errors") == 0).withColumn("_kinds", F.transform("names", header_field))
 
     def pick(field: str):
-        at = F.array_position(kinds, field)
+        at = F.array_position("_kinds", field)
         return F.when(at > 0, clean_str(F.get("fields", (at - 1).cast("int")))).alias(field)
 
-    return ok.select("line_id", "file_id", "line_no", *[pick(f) for f in LOADED_FIELDS])
+    cells = F.transform(
+        F.arrays_zip("names", "fields", "_kinds"),
+        lambda c, i: F.struct(
+            c["names"].alias("name"),
+            clean_str(c["fields"]).alias("value"),
+            F.coalesce(
+                c["_kinds"].isin(*LOADED_FIELDS) & (F.array_position("_kinds", c["_kinds"]) == i + 1), F.lit(False)
+            ).alias("taken"),
+        ),
+    )
+    extra = F.transform(
+        F.filter(cells, lambda c: ~c["taken"]), lambda c: F.struct(c["name"].alias("name"), c["value"].alias("value"))
+    )
+    return ok.select("line_id", "file_id", "line_no", *[pick(f) for f in LOADED_FIELDS], extra.alias("extra"))
 
 
 def judge_batches(batch_tables: list[DataFrame], files: DataFrame) -> DataFrame:

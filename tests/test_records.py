@@ -74,6 +74,26 @@ def test_every_row_is_loaded_or_rejected(spark, sf):
     assert rejects.rejected(j).count() + rejects.loaded(j).count() == total
 
 
+def test_no_value_is_lost(spark):
+    heads = files(spark, "name,website,founded,headcount,url,x1,x1,e-mail", "is_active,name")
+    j = rejects.judge_records(lines(spark, (0, "a,b.com,1990,12,c.com,p,q,m@b.com"), (0, ",,n/a,,c.com,,,"), (1, "yes,b")), heads)
+    got = {r["line_id"]: r for r in rejects.loaded(j).collect()}
+    extra = {k: [tuple(e) for e in r["extra"]] for k, r in got.items()}
+    assert (got[0]["name"], got[0]["website"], got[0]["email"]) == ("a", "b.com", "m@b.com")
+    assert extra[0] == [("founded", "1990"), ("headcount", "12"), ("url", "c.com"), ("x1", "p"), ("x1", "q")]
+    assert got[1]["website"] is None and extra[1] == [("founded", None), ("headcount", None), ("url", "c.com"), ("x1", None), ("x1", None)]
+    assert got[2]["name"] == "b" and extra[2] == [("is_active", "yes")]
+
+
+def test_loaded_holds_every_value_of_the_valid_records(spark, sf):
+    batches = [spark.read.parquet(f"{sf}/{t}.parquet") for t in ("batch_01_standard", "batch_02_messy")]
+    j = rejects.judge_batches(batches, spark.read.parquet(f"{sf}/batch_files.parquet"))
+    present = lambda c: F.size(F.filter(c, lambda v: v.isNotNull()))
+    whole = j.filter("size(errors) = 0").select(F.sum(present(F.transform("fields", rejects.clean_str)))).first()[0]
+    kept = F.concat(F.array(*rejects.LOADED_FIELDS), F.transform("extra", lambda e: e["value"]))
+    assert rejects.loaded(j).select(F.sum(present(kept))).first()[0] == whole
+
+
 def change_set(spark, heads, records):
     c = drift.changes(lines(spark, *records).drop("line_no"), files(spark, *heads))
     return {tuple(r) for r in c.select("file_id", "change_kind", "old_field", "new_field").collect()}
