@@ -1,15 +1,16 @@
 """Column-level quality profile: declared checks compiled into one shared aggregate scan with mergeable states.
 
 `column_states` reads the table once, for any number of columns and checks, and gives one small row per partition (a
-load) and column: counts, text ranges and a HyperLogLog sketch. States of partitions merge without reading rows again
+load) and column: counts, ranges of text, numbers and times, and a HyperLogLog sketch. States of partitions merge without reading rows again
 (`merge_states`). `value_states` adds exact value counts for the columns whose most frequent value is watched; they are
 combined on the map side before the only shuffle, so a value held by a third of all rows is one row per task.
 `shifts` compares each load with the one before; `control_limits` tests each metric against the mean and deviation of
 all earlier loads.
 
 Defined results: shares of an empty set are NULL and never a shift; a load is compared with the load before it that
-exists; NULL partition values are a load of their own, before all others; ranges are by text order of trimmed values;
-an empty table gives no rows; unlisted columns are ignored.
+exists; NULL partition values are a load of their own, before all others; `least` and `most` are by text order of trimmed
+values, `least_number` to `most_time` by value, for columns that have such a type or are declared to hold it (values that
+can't be read as such don't count); `distinct` is an estimate (about 2 percent off); an empty table gives no rows; unlisted columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ledgerloom.functions.nulls import clean_str
-from ledgerloom.functions.text import EMAIL_RE, norm_domain, person_ok, phone_ok, score_int  # noqa: F401
+from ledgerloom.functions.text import EMAIL_RE, norm_domain, person_ok, phone_ok, score_int, to_utc  # noqa: F401
 
 
 @dataclass(frozen=True)
@@ -42,13 +44,33 @@ COMPANY_CHECKS = (
 )
 
 
-def column_states(df: DataFrame, part: str, columns: list[str], checks=COMPANY_CHECKS) -> DataFrame:
+# Text columns whose values are numbers or times.
+NUMBERS = ("confidence_score",)
+TIMES = ("last_updated",)
+
+
+def column_states(
+    df: DataFrame, part: str, columns: list[str], checks=COMPANY_CHECKS, numbers=NUMBERS, times=TIMES
+) -> DataFrame:
     """One row per partition and column, from one scan and one aggregation over all columns."""
     wrong = {c.column: c.wrong for c in checks}
-    cleaned = df.select(F.col(part).alias("_part"), *[clean_str(F.col(c).cast("string")).alias(c) for c in columns])
+    kinds = {f.name: f.dataType for f in df.schema}
+    is_time = lambda c: isinstance(kinds[c], DateType | TimestampType | TimestampNTZType)
+    cleaned = df.select(
+        F.col(part).alias("_part"),
+        *[clean_str(F.col(c).cast("string")).alias(c) for c in columns],
+        *[F.col(c).cast("timestamp").alias("_time_" + c) for c in columns if is_time(c)],
+    )
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in columns:
-        v = F.col(c)
+        v, number, time = F.col(c), F.lit(None).cast("double"), F.lit(None).cast("timestamp")
+        if isinstance(kinds[c], NumericType) or c in numbers:
+            number = v.try_cast("double")
+            number = F.when(~F.isnan(number), number)
+        elif is_time(c):
+            time = F.col("_time_" + c)
+        elif c in times:
+            time = to_utc(v)
         bad = F.count_if(v.isNotNull() & wrong[c](v)) if c in wrong else F.lit(None).cast("bigint")
         aggs.append(
             F.struct(
@@ -58,6 +80,10 @@ def column_states(df: DataFrame, part: str, columns: list[str], checks=COMPANY_C
                 F.max(v).alias("most"),
                 F.min(F.length(v)).alias("shortest"),
                 F.max(F.length(v)).alias("longest"),
+                F.min(number).alias("least_number"),
+                F.max(number).alias("most_number"),
+                F.min(time).alias("least_time"),
+                F.max(time).alias("most_time"),
                 F.hll_sketch_agg(v).alias("distinct"),
             ).alias(c)
         )
@@ -78,6 +104,10 @@ def merge_states(states: DataFrame, keys: list[str]) -> DataFrame:
         F.max("most").alias("most"),
         F.min("shortest").alias("shortest"),
         F.max("longest").alias("longest"),
+        F.min("least_number").alias("least_number"),
+        F.max("most_number").alias("most_number"),
+        F.min("least_time").alias("least_time"),
+        F.max("most_time").alias("most_time"),
         F.hll_union_agg("distinct").alias("distinct"),
     )
 
@@ -93,6 +123,18 @@ def profile(states: DataFrame) -> DataFrame:
     )
 
 
+def profile_by_load(states: DataFrame, part: str) -> DataFrame:
+    """The profile of each partition (scope `load`) and of all together (scope `all`, partition NULL), from one set of states."""
+    scopes = F.explode(
+        F.array(
+            F.struct(F.lit("load").alias("scope"), F.col(part).alias("p")),
+            F.struct(F.lit("all").alias("scope"), F.lit(None).cast(states.schema[part].dataType).alias("p")),
+        )
+    )
+    x = states.withColumn("_s", scopes).withColumns({"scope": F.col("_s.scope"), part: F.col("_s.p")}).drop("_s")
+    return profile(merge_states(x, ["scope", part, "column_name"]))
+
+
 def value_states(df: DataFrame, part: str, columns: list[str], checks=COMPANY_CHECKS) -> DataFrame:
     """Exact states of a few watched columns: rows, missing, wrong, top (rows of the most frequent value), values."""
     wrong = {c.column: c.wrong for c in checks}

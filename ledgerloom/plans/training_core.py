@@ -47,9 +47,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     df = table(spark, d, "enriched_companies")
-    columns = [c for c in df.columns if c not in ("row_id", "load_no", "loaded_at")]
-    states = quality.column_states(df, "load_no", columns)
-    return quality.profile(quality.merge_states(states, ["column_name"])).drop("distinct").orderBy("column_name")
+    states = quality.column_states(df, "load_no", df.columns)
+    return quality.profile_by_load(states, "load_no").orderBy("scope", "load_no", "column_name")
 
 
 def p4_limits(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import drift, quality, rejects
+from ledgerloom.plans import training_core
 
 FILES = "file_id int, feed string, delivered_at timestamp, delimiter string, header_line string"
 LINES = "line_id bigint, file_id int, line_no int, raw_line string"
@@ -152,6 +153,33 @@ def test_shifts_and_profile(spark):
     assert p["note"]["present"] == 3 and p["phone"]["wrong"] == 4
 
 
+def test_profile_has_all_columns_by_load_and_in_total(spark, sf):
+    df = spark.read.parquet(f"{sf}/enriched_companies.parquet")
+    got = {(r["scope"], r["load_no"], r["column_name"]): r for r in training_core.p4_profile(spark, sf).collect()}
+    loads = [r[0] for r in df.select("load_no").distinct().collect()]
+    assert set(got) == {(s, n, c) for s, n in [("all", None), *(("load", n) for n in loads)] for c in df.columns}
+    exact = df.groupBy("load_no").agg(F.countDistinct("row_id").alias("n"), F.min("row_id"), F.max("row_id"), F.min("loaded_at"), F.max("loaded_at"))
+    for load, n, least, most, first, last in exact.collect():
+        r = got["load", load, "row_id"]
+        assert r["rows"] == n and r["distinct"] == pytest.approx(n, rel=0.05)
+        assert (r["least_number"], r["most_number"]) == (least, most)
+        t = got["load", load, "loaded_at"]
+        assert (t["least_time"], t["most_time"]) == (first, last)
+    assert got["all", None, "load_no"]["distinct"] == len(loads)
+
+
+def test_ranges_of_numbers_and_times(spark):
+    rows = [(0, "9", "2024-02-01"), (0, "85", "2024-01-31T23:00:00-02:00"), (0, "none", "soon"), (1, "100", None), (1, "x", "2023-05-05 10:00:00")]
+    df = spark.createDataFrame(rows, "load_no int, confidence_score string, last_updated string")
+    p = quality.profile_by_load(quality.column_states(df, "load_no", df.columns), "load_no")
+    got = {(r["load_no"], r["column_name"]): r for r in p.collect()}
+    number = lambda n: (got[n, "confidence_score"]["least_number"], got[n, "confidence_score"]["most_number"])
+    assert (number(0), number(1), number(None)) == ((9, 85), (100, 100), (9, 100))
+    t = got[None, "last_updated"]
+    assert [str(t[c]) for c in ("least_time", "most_time")] == ["2023-05-05 10:00:00", "2024-02-01 01:00:00"]
+    assert got[None, "confidence_score"]["distinct"] == 4 and got[0, "load_no"]["most_number"] == 0
+
+
 def test_boundary_of_a_shift(spark):
     rows = [(0, "A B", "x", "1234567", None)] * 20 + [(1, "A B", "x", "1234567", None)] * 17 + [(1, None, "x", "1234567", None)] * 3
     states = quality.value_states(spark.createDataFrame(rows, QUALITY), "load_no", ["ceo"])
