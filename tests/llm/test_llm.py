@@ -76,6 +76,20 @@ def test_precedence_is_learnt(spark):
     assert found(spark, *rows, *undated, undated="oldest")[("z", "email")] == 80
 
 
+def test_steps_across_months_count(spark):
+    at = [("linkedin", "2020-01-31T23:00:00Z"), ("public_database", "2020-02-01T01:00:00Z"), (None, "2020-06-01T00:00:00Z"), ("llm_inferred", "2020-06-02T00:00:00Z")]
+    at += [("web_scrape", "2020-06-03T00:00:00Z"), ("web_scrape", "2021-06-03T00:00:00Z"), ("official_website", "2022-06-03T00:00:00Z"), ("weak_signal", "none")]
+    rows = [dict(row_id=10 * g + k, company_id=f"g{g}", source_used=s, last_updated=t) for g in range(3) for k, (s, t) in enumerate(at)]
+    df = companies(spark, *rows)
+    cls = survivors.source_class(F.col("source_used"))
+    got = survivors.learn_steps(df, {"all": cls, "some": F.when(cls != "none", cls)})
+    ends = [("llm", "scrape"), ("scrape", "official"), ("linkedin", "public")]
+    assert got["all"] == dict.fromkeys([*ends, ("public", "none"), ("none", "llm")], 3)
+    assert got["some"] == dict.fromkeys([*ends, ("public", "llm")], 3)
+    order = survivors.learn_precedence(df)
+    assert order.index("linkedin") < order.index("public") < order.index("none") < order.index("llm") < order.index("scrape") < order.index("official")
+
+
 def test_topological_breaks_cycles():
     steps = {("a", "b"): 5, ("b", "c"): 5, ("c", "a"): 1}
     assert survivors.topological(["c", "b", "a"], steps) == ["a", "b", "c"]
