@@ -90,6 +90,27 @@ def test_steps_across_months_count(spark):
     assert order.index("linkedin") < order.index("public") < order.index("none") < order.index("llm") < order.index("scrape") < order.index("official")
 
 
+def test_undated_rows_are_placed_among_dated_ones(spark):
+    a, b = "2020-01-01T00:00:00Z", "2020-03-01T00:00:00Z"
+    rows = []
+    for g in range(6):
+        rows += [
+            dict(row_id=10 * g, company_id=f"g{g}", source_used="linkedin", email="info@b.io", website="b.io", last_updated=a),
+            dict(row_id=10 * g + 1, company_id=f"g{g}", source_used="public_database", email="ann.lee@b.io", website="b.io", last_updated=b),
+        ]
+    dated = dict(row_id=100, company_id="x", source_used="linkedin", email="info@c.io", website="c.io", last_updated=b)
+    undated = dict(row_id=101, company_id="x", source_used="public_database", email="bo.ek@c.io", website="c.io")
+    swapped = [dated | dict(row_id=110, company_id="y", last_updated=None), undated | dict(row_id=111, company_id="y", last_updated=a)]
+    # no evidence: same classes; worse trust; a value's own class goes before its source
+    same = [dated | dict(row_id=121, company_id="s"), dated | dict(row_id=120, company_id="s", last_updated=None)]
+    worse = [dated | dict(row_id=130, company_id="w"), undated | dict(row_id=131, company_id="w", source_used="web_scrape")]
+    own = [dated | dict(row_id=140, company_id="o", source_used="public_database"), undated | dict(row_id=141, company_id="o", source_used="linkedin")]
+    got = found(spark, *rows, dated, undated, *swapped, *same, *worse, *own, undated="learned")
+    assert {g: got[g, "email"] for g in "xyswo"} == {"x": 101, "y": 111, "s": 121, "w": 130, "o": 141}
+    assert got["x", "source_used"] == 101 and got["o", "source_used"] == 140
+    assert found(spark, *rows, dated, undated, undated="oldest")[("x", "email")] == 100
+
+
 def test_topological_breaks_cycles():
     steps = {("a", "b"): 5, ("b", "c"): 5, ("c", "a"): 1}
     assert survivors.topological(["c", "b", "a"], steps) == ["a", "b", "c"]
