@@ -1,6 +1,9 @@
 """The run from files to export: load, clean, enrich, validate, export, with parquet checkpoints between steps.
 
-    python -m ledgerloom.plans.pipeline INPUT OUTPUT [load|clean|enrich|validate|export|all]
+    python -m ledgerloom.plans.pipeline INPUT OUTPUT [load|clean|enrich|validate|export|all] [--pages T] [--answers T] [--fetch]
+
+Pages (url, html) and answers (key, answer) are Parquet tables. With --fetch, pages that are missing are fetched before the
+enrich step and written under OUTPUT/tables, as are the answers of a model where one is given (`Pipeline.gather`).
 """
 
 from __future__ import annotations
@@ -11,17 +14,19 @@ import time
 from logging.handlers import RotatingFileHandler
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import cache_domain
+from ledgerloom.functions.text import cache_domain, find_emails, find_phones
 from ledgerloom.operators.clean import clean, standard_columns, with_order
-from ledgerloom.operators.enrich import enrich
+from ledgerloom.operators.enrich import domains_to_fetch, enrich, prompt_text, render_prompt, split_done
 from ledgerloom.operators.score import score_dataframe
 from ledgerloom.operators.validate import findings, report, save_report
 from ledgerloom.schema import Settings
 from ledgerloom.sources.export import export_csv, read_checkpoint, write_checkpoint
-from ledgerloom.sources.html import extract_pages
+from ledgerloom.sources.html import ABOUT_PATHS, CONTACT_PATHS, LEADERSHIP_PATHS, extract_pages, full_text, sub_page_text
 from ledgerloom.sources.loader import load_all
+from ledgerloom.sources.providers import PAGE_SCHEMA, HttpFetcher, ask_model, fetch_pages
 
 log = logging.getLogger("ledgerloom")
 STEPS = ("load", "clean", "enrich", "validate", "export")
@@ -34,6 +39,21 @@ def setup_logging(level: str = "INFO", file: str | None = None) -> None:
     logging.basicConfig(level=level, handlers=handlers, format="%(asctime)s %(levelname)s %(message)s", force=True)
 
 
+SUB_PAGES = {"about_text": ABOUT_PATHS, "contact_text": CONTACT_PATHS, "team_text": LEADERSHIP_PATHS}
+
+
+def site_pages(pages: DataFrame, settings: Settings) -> DataFrame:
+    """One extracted page per domain, the one with the shortest address, with its sub-pages' texts; contacts are looked for
+    in all of them."""
+    x = extract_pages(pages, most_chars=settings.max_text_chars).withColumn("_domain", cache_domain(F.col("url")))
+    nearest = Window.partitionBy("_domain").orderBy(F.length(F.regexp_replace("url", "/+$", "")), "url")
+    sites = x.withColumn("_n", F.row_number().over(nearest)).filter("_n = 1").drop("_n", "_domain")
+    for name, paths in SUB_PAGES.items():
+        sites = sites.join(sub_page_text(sites, x, paths, name), "url", "left")
+    text = full_text(settings.max_text_chars)
+    return sites.withColumns({"emails_found": find_emails(text), "phones_found": find_phones(text)})
+
+
 class Pipeline:
     """Steps over checkpoints: each reads what the one before wrote, so a run resumes where it stopped."""
 
@@ -75,12 +95,35 @@ class Pipeline:
         if pages is None:
             out = score_dataframe(df, self.settings)
         else:
-            known = extract_pages(pages, most_chars=self.settings.max_text_chars)
             if answers is not None:
                 answers = answers.withColumn("domain", cache_domain(F.col("key"))).select("domain", "answer")
-            out = enrich(df, known, answers, self.settings)
+            out = enrich(df, site_pages(pages, self.settings), answers, self.settings)
         write_checkpoint(out, self.path("enrich"))
 
+    def gather(self, pages: DataFrame | None = None, make_fetcher=HttpFetcher, make_model=None) -> tuple[DataFrame, DataFrame]:
+        """Network and model calls, before the plan: fetches what `pages` lacks, asks the model, writes both as tables."""
+        s, spark = self.settings, self.spark
+        _, todo = split_done(self.read("clean"), s.skip_found)
+        if pages is None:
+            pages = spark.createDataFrame([], PAGE_SCHEMA)
+        if "fetched_at" not in pages.columns:
+            pages = pages.withColumn("fetched_at", F.current_timestamp())
+        facts = pages.select(cache_domain(F.col("url")).alias("domain"), "fetched_at")
+        paths = F.array(*[F.lit(p) for p in ("", *[p for group in SUB_PAGES.values() for p in group])])
+        wanted = domains_to_fetch(todo, facts, s.cache_ttl_days).select(F.explode(paths).alias("path"), "domain")
+        new = fetch_pages(wanted.select(F.concat("domain", "path").alias("url")), s, pages, make_fetcher)
+        newest = Window.partitionBy("url").orderBy(F.desc("fetched_at"))
+        both = new.unionByName(pages, allowMissingColumns=True).withColumn("_n", F.row_number().over(newest))
+        where = str(self.output / "tables")
+        write_checkpoint(both.filter("_n = 1").drop("_n"), f"{where}/pages")
+        pages = read_checkpoint(spark, f"{where}/pages")
+        names = todo.groupBy(cache_domain(F.coalesce("website", "linkedin")).alias("key")).agg(F.min("name").alias("name"))
+        text = prompt_text(F.col("about_text"), F.col("team_text"), F.col("visible_text"), F.col("contact_text"), s)
+        texts = site_pages(pages, s).select(cache_domain(F.col("url")).alias("key"), text.alias("text")).filter("text IS NOT NULL")
+        prompts = texts.join(names, "key").select("key", render_prompt(F.col("text"), F.col("name")).alias("prompt"))
+        write_checkpoint(ask_model(prompts, s, make_model), f"{where}/answers")
+        return pages, read_checkpoint(spark, f"{where}/answers")
+
     def _validate(self):
         rows, one = report(self.read("enrich"), self.settings)
         write_checkpoint(rows, self.path("validate"))
@@ -97,12 +140,23 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("input")
     p.add_argument("output")
     p.add_argument("step", nargs="?", default="all", choices=[*STEPS, "all"])
+    p.add_argument("--pages", help="Parquet table of pages: url, html")
+    p.add_argument("--answers", help="Parquet table of a model's answers: key, answer")
+    p.add_argument("--fetch", action="store_true", help="fetch pages that are missing before the enrich step")
     a = p.parse_args(argv)
+    if a.answers and not (a.pages or a.fetch):
+        p.error("--answers needs --pages or --fetch")
     setup_logging()
     spark = SparkSession.builder.appName("ledgerloom").getOrCreate()
     run = Pipeline(spark, a.input, a.output)
     for step in STEPS if a.step == "all" else (a.step,):
-        run.run(step)
+        pages = answers = None
+        if step == "enrich":
+            pages, answers = (spark.read.parquet(t) if t else None for t in (a.pages, a.answers))
+            if a.fetch:
+                pages, asked = run.gather(pages)
+                answers = answers or asked
+        run.run(step, pages, answers)
     return 0
 
 

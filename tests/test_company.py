@@ -13,7 +13,7 @@ from ledgerloom.functions.similarity import indel_ratio, similar_pairs
 from ledgerloom.operators import clean, enrich, score, validate
 from ledgerloom.operators.clean import ORD
 from ledgerloom.operators.graph import connected_components
-from ledgerloom.plans.pipeline import Pipeline
+from ledgerloom.plans.pipeline import Pipeline, main
 from ledgerloom.schema import SOURCE_FILE, STANDARD_COLUMNS, STANDARD_SCHEMA, Settings
 from ledgerloom.sources import export, html, providers
 from ledgerloom.sources.headers import column_mapping, detect_column, plain
@@ -247,6 +247,38 @@ def test_enrich(spark):
     assert got["Bare"]["source_used"] == "not_found"
 
 
+class Site:
+    """A fetcher over fixed pages."""
+
+    def __init__(self, settings):
+        self.sleep = lambda s: None
+
+    def fetch(self, url):
+        text = {"https://acme.com": "<p>Home</p>", "https://acme.com/about": "<p>We make tools. Write to me@acme.com</p>"}.get(url)
+        return dict(url=url, final_url=url, status_code=200 if text else 404, html=text, error=None, redirect_count=0)
+
+
+def test_pipeline_fills_gaps(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("name,website\nAcme Corp,acme.com\n")
+    ask = spark.createDataFrame([("acme.com", '{"industry":"Tools"}')], "key string, answer string")
+    pages = spark.createDataFrame([("https://acme.com/", PAGE)], "url string, html string")
+    ask.write.parquet(str(tmp_path / "answers"))
+    pages.write.parquet(str(tmp_path / "pages"))
+    args = [str(tmp_path / "in"), str(tmp_path / "out")]
+    for step in ("load", "clean"):
+        assert main([*args, step]) == 0
+    assert main([*args, "enrich", "--pages", str(tmp_path / "pages"), "--answers", str(tmp_path / "answers")]) == 0
+    run = Pipeline(spark, *args, Settings(llm_api_key="k", llm_requests_per_minute=6000))
+    r = run.read("enrich").first()
+    assert (r["industry"], r["description"], r["email"]) == ("Tools", "D", "a@b.io")
+    got, said = run.gather(make_fetcher=Site, make_model=lambda s: lambda p: '{"ceo":"Al Bo"}' if "We make tools." in p and "Acme" in p else None)
+    assert {x["url"] for x in got.filter("html IS NOT NULL").collect()} == {"https://acme.com", "https://acme.com/about"}
+    run.run("enrich", got, said)
+    r = run.read("enrich").first()
+    assert (r["ceo"], r["email"]) == ("Al Bo", "me@acme.com")
+
+
 def test_retry_and_robots():
     calls = []
 
