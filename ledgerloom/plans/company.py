@@ -505,6 +505,32 @@ def prompts(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(p).alias("prompt"))
 
 
+PAGE_KINDS = {"about": "about", "leadership": "team", "contact": "contact"}
+
+
+def site_prompts(documents: DataFrame, settings: Settings) -> DataFrame:
+    """source, prompt: per host the texts of its documents by page kind (others count as home), in the order of doc_id."""
+    kind = F.lit("home")
+    for name, slot in PAGE_KINDS.items():
+        kind = F.when(F.lower(F.trim("page_kind")) == name, slot).otherwise(kind)
+    texts = documents.filter("source IS NOT NULL AND trim(text) != ''").select("source", "doc_id", "text", kind.alias("slot"))
+    # no text beyond the budget of words can be in the prompt, so the long ones are cut before they are collected
+    cut = texts.withColumn("text", X.token_budget(F.col("text"), settings.max_prompt_tokens))
+    joined = cut.groupBy("source").agg(
+        *[
+            F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("slot") == n, F.struct("doc_id", "text")))), lambda t: t["text"]), "\n\n").alias(n)
+            for n in ("about", "team", "home", "contact")
+        ]
+    )
+    text = enrich.prompt_text(*[F.col(n) for n in ("about", "team", "home", "contact")], settings)
+    return joined.select("source", enrich.render_prompt(F.coalesce(text, F.lit("")), F.col("source")).alias("prompt"))
+
+
+@query()
+def prompt_texts(spark, d):
+    return site_prompts(table(spark, d, "documents"), Settings())
+
+
 @query(
     f"SELECT rid, coalesce(ceo, 'New Ceo') AS ceo, coalesce(phone, '555') AS phone, CASE WHEN a = '' THEN b"
     " WHEN contains(a, b) THEN a ELSE a || ',' || b END AS source_used"

@@ -13,6 +13,7 @@ from ledgerloom.functions.similarity import indel_ratio, similar_pairs
 from ledgerloom.operators import clean, enrich, score, validate
 from ledgerloom.operators.clean import ORD
 from ledgerloom.operators.graph import connected_components
+from ledgerloom.plans import company
 from ledgerloom.plans.pipeline import Pipeline, main
 from ledgerloom.schema import SOURCE_FILE, STANDARD_COLUMNS, STANDARD_SCHEMA, Settings
 from ledgerloom.sources import export, html, providers
@@ -247,6 +248,16 @@ def test_enrich(spark):
     assert got["Bare"]["source_used"] == "not_found"
 
 
+def test_prompts_hold_page_texts(spark):
+    docs = [(4, "h", "about", "We " * 5000), (1, "h", None, "Home " * 4000), (3, "h", "leadership", "Al  Bo"), (2, "h", "about", "First"), (5, "h", "contact", "late"), (6, "g", "home", " "), (7, "k", "contact", "Call  us")]
+    df = spark.createDataFrame(docs, "doc_id bigint, source string, page_kind string, text string")
+    got = {r["source"]: r["prompt"] for r in company.site_prompts(df, Settings()).collect()}
+    words = ["First", *["We"] * 5000, "Al", "Bo", *["Home"] * 997]
+    text = lambda p: p.split("TEXT:\n")[1].split("\n\nCOMPANY: ")[0]
+    assert set(got) == {"h", "k"} and text(got["h"]).rstrip() == " ".join(words) and len(text(got["h"]).split()) == 6000
+    assert text(got["k"]) == "Call  us"
+
+
 class Site:
     """A fetcher over fixed pages."""
 
