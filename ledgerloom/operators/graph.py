@@ -1,7 +1,12 @@
 """Connected components of an undirected graph, by alternating large-star and small-star steps.
 
 Every step is a grouped minimum (combined on the map side) and one equi join; nothing is collected but two numbers per
-round. Each round's edges are written to the shared folder, so a lost executor costs a read, not a recomputation.
+round. Each round's edges are written to the shared folder, so a lost executor costs a read, not a recomputation; the
+round before is removed then.
+
+The steps end by themselves: each moves edges to smaller ends only, so the edges' sum falls until every component is a
+star around its smallest node, and a star stays as it is. The number of rounds grows with the logarithm of the number of
+nodes, so there is no limit on it.
 
 Defined results: NULL ends and self-loops are ignored; repeated edges count once; an empty edge table gives an empty
 result; every node of an edge appears once, labelled with the smallest node of its component.
@@ -9,13 +14,20 @@ result; every node of an edge appears once, labelled with the smallest node of i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerloom.runtime import cut
+from ledgerloom.runtime import cut, discard
+
+
+def _kept(e: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges, written, and their number and checksum, taken while they are written."""
+    seen = Observation()
+    out = cut(e.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")))
+    return out, (seen.get["n"], seen.get["h"])
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component."""
     e = (
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).alias("_a"), F.col(b).alias("_b"))
@@ -23,9 +35,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         .select("u", "v")
         .distinct()
     )
-    e = cut(e)
-    state = None
-    for _ in range(rounds):
+    e, state = _kept(e)
+    while state[0]:
         # large star: each larger neighbour is linked to the smallest neighbour
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -34,13 +45,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         j = large.distinct().join(small_least, "u")
         small = j.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(j.select("u", F.col("m").alias("v")))
-        e = cut(small.filter("u != v").distinct())
-        now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-        if state == (now["n"], now["h"]):
+        before, last = e, state
+        e, state = _kept(small.filter("u != v").distinct())
+        discard(before)
+        if state == last:
             break
-        state = (now["n"], now["h"])
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

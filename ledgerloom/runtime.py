@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -14,10 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Read from the session; a local one is made only where none is set (tests)."""
+    """The folder all executors share. Read from the session; where none is set, local mode alone gets a local one."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     fallback = os.path.join(tempfile.gettempdir(), f"ledgerloom-{os.getpid()}")
     os.makedirs(fallback, exist_ok=True)
     spark.conf.set("spark.checkpoint.dir", f"file://{fallback}")
@@ -25,10 +28,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df to the shared folder once and read it back."""
+    """Cut the lineage: write df to the shared folder once and read it back. The files go when the session ends, or by `discard`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    fs, at = _place(spark, path)
+    fs.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
@@ -36,6 +41,16 @@ def cut(df: DataFrame) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove what `cut` wrote for df; df and all that is built on it can't be read any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._cut_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    fs, at = _place(df.sparkSession, df._cut_path)
+    fs.delete(at, True)
+
+
+def _place(spark: SparkSession, path: str):
+    """The path's file system and the path for it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _place(spark, path)
+    return fs.exists(at)
