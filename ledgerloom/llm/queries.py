@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import canonical, incremental, mojibake, packing, reading, survivors, tokens
 from ledgerloom.runtime import table
 
+# The country code of the numbers in the data.
+COUNTRY_CODES = ("999",)
 VOCABULARY = os.environ.get("LEDGERLOOM_VOCABULARY", tokens.DEFAULT_VOCABULARY)
 
 
@@ -31,7 +33,7 @@ def p5_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return incremental.dedupe_batches(table(spark, d, "enriched_companies"), table(spark, d, "incoming_companies"))
+    return incremental.dedupe_batches(table(spark, d, "enriched_companies"), table(spark, d, "incoming_companies"), COUNTRY_CODES)
 
 
 def _mapped(spark: SparkSession, d: str) -> DataFrame:
