@@ -37,32 +37,33 @@ def header_names(header: Column, delimiter: Column) -> Column:
     return split_record(F.regexp_replace(header, r"^\x{FEFF}", ""), delimiter)
 
 
-# What a column holds, by words of its name (case, blanks and punctuation don't count). First match wins.
+# What a column holds, by its name (case, blanks and punctuation don't count). The whole name must fit; first match wins.
 # Kept apart from the loader's alias table: this one also knows fields outside the standard record.
+_OWNER = "(?:company|contact|business|firm|account|organi[sz]ation|input|inputcompany|our|official|main)?"
 FIELD_WORDS = (
-    ("email", "mail"),
-    ("linkedin", "linkedin|^liurl$|^liprofile$"),
-    ("facebook", "facebook|^fb"),
-    ("twitter", "twitter|^x(url|handle)$"),
-    ("instagram", "instagram|^ig(url|handle)?$"),
-    ("employees", "employee|headcount|staff|^size$|companysize"),
-    ("founded", "founded|founding(year|date)|^established|yearfounded"),
-    ("turnover", "turnover|revenue|^sales"),
-    ("active", "^(is)?active|trading|^(is)?live$"),
-    ("phone", "phone|^tel$|mobile|contactnumber"),
-    ("description", "description|^about|overview|summary|^bio$"),
-    ("industry", "industry|sector|vertical"),
-    ("ceo", "ceo|chiefexecutive"),
-    ("founder", "founder"),
-    ("website", "website|domain|homepage|^web|url$|^site$"),
-    ("name", "name$|^firm|^organi[sz]ation|^company$|^account$"),
+    ("email", "e?mail(?:s|id|address|addresses)?"),
+    ("linkedin", "linkedin(?:url|link|page|profile|company|address)?|liurl|liprofile|li"),
+    ("facebook", "(?:facebook|fb)(?:url|link|page|profile)?"),
+    ("twitter", "(?:twitter|x)(?:url|link|page|profile|handle)|twitter"),
+    ("instagram", "(?:instagram|ig)(?:url|link|page|profile|handle)?"),
+    ("employees", "(?:num|no|number|count)?(?:of)?(?:employees?|staff|headcount)(?:count|number|size)?|size"),
+    ("founded", "founded(?:in|year|on|date)?|founding(?:year|date)|established(?:in|year|on)?|year(?:founded|established|offounding)"),
+    ("turnover", "(?:annual)?(?:turnover|revenues?|sales)(?:m?(?:usd|eur|gbp)|in[a-z]{3})?"),
+    ("active", "(?:is|still|currently)?(?:active|trading|live)"),
+    ("phone", "(?:tele)?phone(?:no|number|numbers)?|tel|telno|mobile(?:no|number|phone)?|contactnumber"),
+    ("description", "(?:short|long)?description|about(?:us)?|overview|summary|bio"),
+    ("industry", "industry(?:type|name)?|sector|vertical"),
+    ("ceo", "ceo(?:name)?|chiefexecutive(?:officer)?"),
+    ("founder", "(?:co)?founders?(?:name|names)?"),
+    ("website", "web(?:site|page|address|siteaddress|siteurl|domain|url)?|(?:home)?page(?:url)?|homepage(?:url)?|domain(?:name)?|url|site(?:url)?"),
+    ("name", "(?:legal|trading|full|registered)?name|firm|organi[sz]ation|company|account"),
 )
 
 
 def header_field(name: Column) -> Column:
     """The field that a header name stands for, or NULL where it's unknown."""
     key = F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", "")
-    out = F.when(key.rlike(FIELD_WORDS[0][1]), FIELD_WORDS[0][0])
-    for field, words in FIELD_WORDS[1:]:
-        out = out.when(key.rlike(words), field)
+    out = F.when(F.lit(False), "")
+    for field, words in FIELD_WORDS:
+        out = out.when(key.rlike(rf"^{_OWNER}(?:{words})$"), field)
     return out

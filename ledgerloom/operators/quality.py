@@ -1,11 +1,12 @@
 """Column-level quality profile: declared checks compiled into one shared aggregate scan with mergeable states.
 
 `column_states` reads the table once, for any number of columns and checks, and gives one small row per partition (a
-load) and column: counts, ranges of text, numbers and times, and a HyperLogLog sketch. States of partitions merge without reading rows again
-(`merge_states`). `value_states` adds exact value counts for the columns whose most frequent value is watched; they are
-combined on the map side before the only shuffle, so a value held by a third of all rows is one row per task.
-`shifts` compares each load with the one before; `control_limits` tests each metric against the mean and deviation of
-all earlier loads.
+load) and column: counts, ranges of text, numbers and times, and a HyperLogLog sketch. States of partitions merge without
+reading rows again (`merge_states`), and a `StateStore` keeps them: a new load is scanned once, alone, and all that came
+before is known from its states. `value_states` are such states for the columns whose most frequent value is watched: all
+their checks are one scan, and values are counted on the map side before the only shuffle, so a value held by a third of
+all rows is one row per task. `shifts` compares each load with the one before; `control_limits` tests each metric against
+the mean and deviation of all earlier loads.
 
 Defined results: shares of an empty set are NULL and never a shift; a load is compared with the load before it that
 exists; NULL partition values are a load of their own, before all others; `least` and `most` are by text order of trimmed
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
@@ -112,6 +113,26 @@ def merge_states(states: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+class StateStore:
+    """States of loads in a folder all executors share, one sub-folder per load. Storing a load again replaces its states."""
+
+    def __init__(self, spark: SparkSession, path: str, part: str):
+        self.spark, self.path, self.part = spark, path.rstrip("/"), part
+
+    def known(self) -> DataFrame:
+        """The loads that have states."""
+        return self.states().select(self.part).distinct()
+
+    def add(self, states: DataFrame) -> None:
+        """Store the states of one or more loads; those of other loads stay as they are."""
+        x = states.withColumn("_part", F.coalesce(F.col(self.part).cast("string"), F.lit("")))
+        w = x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+        w.partitionBy("_part").parquet(self.path)
+
+    def states(self) -> DataFrame:
+        return self.spark.read.parquet(self.path).drop("_part")
+
+
 def profile(states: DataFrame) -> DataFrame:
     """Readable metrics of states."""
     return states.withColumns(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.nulls import NA_WORDS, SPACES
 from ledgerloom.operators import drift, quality, rejects
-from ledgerloom.runtime import table
+from ledgerloom.runtime import shared_dir, table
 
 WATCHED = ["ceo", "industry", "phone"]
 
@@ -41,24 +43,39 @@ def p3_table(spark: SparkSession, d: str) -> DataFrame:
     return drift.one_table(_lines(spark, d), table(spark, d, "batch_files"))
 
 
+def p3_alternatives(spark: SparkSession, d: str) -> DataFrame:
+    return drift.alternatives(_lines(spark, d), table(spark, d, "batch_files"))
+
+
+def _stored(states: DataFrame, part: str) -> DataFrame:
+    """The states as later runs find them: stored by load and read back."""
+    store = quality.StateStore(states.sparkSession, f"{shared_dir(states.sparkSession)}/states-{uuid.uuid4().hex}", part)
+    store.add(states)
+    return store.states()
+
+
+def _watched(spark: SparkSession, d: str) -> DataFrame:
+    return _stored(quality.value_states(table(spark, d, "enriched_companies"), "load_no", WATCHED), "load_no")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return quality.shifts(quality.value_states(table(spark, d, "enriched_companies"), "load_no", WATCHED), "load_no")
+    return quality.shifts(_watched(spark, d), "load_no")
 
 
 def p4_profile(spark: SparkSession, d: str) -> DataFrame:
     df = table(spark, d, "enriched_companies")
-    states = quality.column_states(df, "load_no", df.columns)
+    states = _stored(quality.column_states(df, "load_no", df.columns), "load_no")
     return quality.profile_by_load(states, "load_no").orderBy("scope", "load_no", "column_name")
 
 
 def p4_limits(spark: SparkSession, d: str) -> DataFrame:
-    states = quality.value_states(table(spark, d, "enriched_companies"), "load_no", WATCHED)
+    states = _watched(spark, d)
     return quality.control_limits(states, "load_no").filter("out_of_limits").select(
         "load_no", "column_name", "finding", F.round("share", 6).alias("share")
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_loaded, p3_found, p3_table, p4_found, p4_profile, p4_limits)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_loaded, p3_found, p3_alternatives, p3_table, p4_found, p4_profile, p4_limits)}
 
 
 def _clean_sql(x: str) -> str:

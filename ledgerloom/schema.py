@@ -33,6 +33,7 @@ SOURCE_FILE = "_source_file"
 STANDARD_SCHEMA = StructType([StructField(c, StringType()) for c in STANDARD_COLUMNS])
 LOADED_SCHEMA = StructType([*STANDARD_SCHEMA.fields, StructField(SOURCE_FILE, StringType())])
 
+# States of a record, and the fields that count for its score and for completeness.
 STATUSES = ("FOUND", "PARTIALLY_FOUND", "NOT_FOUND", "NEEDS_REVIEW")
 CRITICAL_FIELDS = ("name", "website", "description", "industry")
 OPTIONAL_FIELDS = ("ceo", "founder", "size", "email", "phone", "linkedin", "facebook", "twitter", "instagram")

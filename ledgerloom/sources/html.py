@@ -18,10 +18,18 @@ from ledgerloom.functions import text as X
 from ledgerloom.functions.nulls import strip
 
 # Elements whose content is no visible text, and paths where sub-pages are looked for, in order.
-SKIPPED = "script style noscript header footer nav aside meta head link form".split()
-ABOUT_PATHS = "/about /about-us /about_us /company /who-we-are /our-story /overview /mission /vision".split()
-CONTACT_PATHS = "/contact /contact-us /contact_us /get-in-touch /reach-us /support /help".split()
-LEADERSHIP_PATHS = "/leadership /team /our-team /management /executives /board-of-directors /leadership-team".split()
+SKIPPED = (
+    "script", "style", "noscript", "header", "footer", "nav", "aside", "meta", "head", "link", "form",
+)
+ABOUT_PATHS = (
+    "/about", "/about-us", "/about_us", "/company", "/who-we-are", "/our-story", "/overview", "/mission", "/vision",
+)
+CONTACT_PATHS = (
+    "/contact", "/contact-us", "/contact_us", "/get-in-touch", "/reach-us", "/support", "/help",
+)
+LEADERSHIP_PATHS = (
+    "/leadership", "/team", "/our-team", "/management", "/executives", "/board-of-directors", "/leadership-team",
+)
 
 _VOID = {"meta", "link", "br", "img", "hr", "input", "area", "base", "col", "embed", "source", "track", "wbr"}
 
@@ -106,7 +114,7 @@ def extract_pages(pages: DataFrame, html: str = "html", most_chars: int = 8000)
             "visible_text": visible,
             "best_description": best_description(p),
             "linkedin_found": X.find_linkedin(raw),
-            **{f"{n}_found": X.find_social(raw, n) for n in X.SOCIAL_PATTERNS},
+            **{f"{n}_found": X.find_social(raw, n) for n in X.SOCIAL_SITES},
         }
     )
     return x.withColumns(
@@ -124,7 +132,7 @@ def redirected(requested: Column, final: Column) -> Column:
     return bare(requested) != bare(final)
 
 
-def sub_page_text(sites: DataFrame, pages: DataFrame, paths: list[str], to: str) -> DataFrame:
+def sub_page_text(sites: DataFrame, pages: DataFrame, paths: tuple[str, ...], to: str) -> DataFrame:
     """Per site url the text of the first of the paths that has one. pages: url, visible_text."""
     tries = sites.select("url", F.posexplode(F.array(*[F.lit(p) for p in paths])).alias("pos", "path"))
     tries = tries.withColumn("_page", F.concat(F.regexp_replace("url", "/+$", ""), "path"))

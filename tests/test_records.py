@@ -134,9 +134,10 @@ def test_tags(spark, value, tag):
 
 
 def test_one_table_has_typed_branches(spark):
-    t = drift.one_table(lines(spark, (0, "a,1"), (1, "a,1.5")).drop("line_no"), files(spark, "name,turnover", "name,revenue"))
-    got = {(r["file_id"], r["field"], r["as_integer"], r["as_decimal"]) for r in t.filter("field = 'turnover'").collect()}
-    assert got == {(0, "turnover", 1, 1.0), (1, "turnover", None, 1.5)}
+    t = drift.one_table(lines(spark, (0, "a,1"), (1, "a,1.5"), (1, ",")).drop("line_no"), files(spark, "name,turnover", "name,revenue", "zip"))
+    assert t.columns == ["line_id", "file_id", "name", "turnover", "turnover__integer", "turnover__decimal", "zip"]
+    got = {tuple(r) for r in t.drop("line_id").collect()}
+    assert got == {(0, "a", "1", 1, 1.0, None), (1, "a", "1.5", None, 1.5, None), (1, None, None, None, None, None)}
 
 
 QUALITY = "load_no int, ceo string, industry string, phone string, note string"
@@ -202,3 +203,48 @@ def test_states_merge(spark, sf):
     whole = quality.column_states(df.withColumn("all", F.lit(1)), "all", ["ceo", "phone"])
     cols = ["column_name", "rows", "present", "wrong", "least", "most"]
     assert sorted(map(tuple, parts.select(cols).collect())) == sorted(map(tuple, whole.select(cols).collect()))
+
+
+def test_loads_are_scanned_once(spark, sf, tmp_path):
+    df = spark.read.parquet(f"{sf}/enriched_companies.parquet")
+    store = quality.StateStore(spark, f"file://{tmp_path}/states", "load_no")
+    for (load,) in sorted(df.select("load_no").distinct().collect()):
+        one = df.filter(F.col("load_no") == load)
+        store.add(quality.value_states(one, "load_no", training_core.WATCHED))
+    store.add(quality.value_states(df.filter("load_no = 2"), "load_no", training_core.WATCHED))
+    whole = quality.value_states(df, "load_no", training_core.WATCHED)
+    assert sorted(map(tuple, store.states().select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    assert store.known().count() == df.select("load_no").distinct().count()
+    assert set(quality.shifts(store.states(), "load_no").collect()) == set(training_core.p4_found(spark, sf).collect())
+
+
+def test_header_words_are_whole_names(spark):
+    names = {"mailing_address": None, "logo_url": None, "username": None, "Contact E-Mail": "email", "our-website": "website", "Company Name": "name", "no. of employees": "employees"}
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert {r["n"]: r["f"] for r in df.withColumn("f", drift.header_field(F.col("n"))).collect()} == names
+    assert reasons(spark, "name,mailing_address", ["a,12 High Street"]) == [None]
+
+
+def test_content_decides_on_renames(spark):
+    heads = ["name,x1,sales", "name,x2,turnover,y", "name,website,headcount,y"]
+    records = [(0, "a,b.com,1.5"), (1, "a,c.com,2.5,p"), (2, "a,d.com,12,p")]
+    assert change_set(spark, heads, records) == {
+        (1, "renamed", "x1", "x2"), (1, "renamed", "sales", "turnover"), (1, "added", "", "y"),
+        (2, "renamed", "x2", "website"), (2, "removed", "turnover", ""), (2, "added", "", "headcount"),
+    }
+
+
+def test_alternatives_are_reported(spark):
+    heads = ["name,turnover", "name,turnover", "name,revenue", "name,revenue"]
+    records = [(0, "a,1"), (0, "b,2"), (0, "c,1.5"), (1, "a,1"), (2, "a,1"), (2, "a,2"), (2, "b,unknown"), (3, "x,")]
+    got = drift.alternatives(lines(spark, *records).drop("line_no"), files(spark, *heads))
+    assert {tuple(r) for r in got.collect()} == {(1, "turnover", "decimal", "vanished", 1), (2, "revenue", "text", "appeared", 1)}
+
+
+def test_every_readable_record_is_in_the_one_table(spark, sf):
+    t = training_core.p3_table(spark, sf)
+    batches = [spark.read.parquet(f"{sf}/{b}.parquet") for b in ("batch_01_standard", "batch_02_messy")]
+    j = rejects.judge_batches(batches, spark.read.parquet(f"{sf}/batch_files.parquet"))
+    readable = j.filter("NOT arrays_overlap(errors, array('quoting', 'column_count', 'no_header'))")
+    assert t.count() == t.select("line_id").distinct().count() == readable.count()
+    assert {"name", "website", "email", "linkedin"} <= set(t.columns)
