@@ -27,11 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{fallback}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df to the shared folder once and read it back. The files go when the session ends, or by `discard`."""
+def cut(df: DataFrame, *by: str) -> DataFrame:
+    """Cut the lineage: write df to the shared folder once and read it back. `by`: columns with a folder per value.
+
+    The files go when the session ends, or by `discard`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    w = df.write.option("compression", "zstd")
+    (w.partitionBy(*by) if by else w).parquet(path)
     fs, at = _place(spark, path)
     fs.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
