@@ -1,19 +1,24 @@
 """Mapping free-entered values to a canonical list: symmetric-delete lookup, weighted edit distance, reported misses.
 
-A dictionary is built from the reference list: every accepted spelling of an entry (its value, its other names and the
-terms of the `terms` parameter) in normal form, plus all strings that come from it by deleting up to `max_edits`
-letters. A value is looked up by its own deletions, so no value is ever compared with the whole list; hits are ranked by
-weighted Damerau-Levenshtein distance and then by how often the entry occurs verbatim in the data. The dictionary is
-broadcast; its size is bounded by the reference list, and `build` refuses a list of more than MAX_REFERENCE rows.
+A dictionary is made from the reference list: every accepted spelling of an entry (its value and its other names) in
+normal form, plus all strings that come from it by leaving out up to two letters. A value is looked up by its own
+deletions, so no value is ever compared with the whole list; hits are ranked by weighted Damerau-Levenshtein distance and
+then by how often the entry occurs verbatim in the data.
 
-Rows are mapped where they lie, in Arrow batches with a memo of distinct values per task: no shuffle, no join, so a value
-held by a third of all rows costs one lookup.
+The list's other names are incomplete, so they are completed from the data, not by hand: a value that fits nothing is
+learnt as another name of an entry if the companies that use it say so elsewhere. For at least LEAST_COMPANIES companies
+and LEAST_SHARE of those that have a mapped value in another row, that entry must be the most frequent one. The values
+left over are then looked up again, with the learnt names and their slips in the dictionary.
+
+Only distinct values are looked up; rows get their entry by a join on the value. The dictionary is broadcast where it has
+at most MAX_NAMES names (counted first); a longer one is joined by its deletions on the executors, with the same result.
 
 Defined results: NULL and missing values and values written exactly as in the list give no row; a value that fits no
 entry gives ref_id 0 (the reported miss); head counts go to the band that holds them, 0 and negative counts to none;
-equal distances go to the entry with more verbatim rows, then to the smaller ref_id; values longer than
-MAX_VALUE characters are looked up without edits only (an edit of one letter can't matter there); an empty reference
-list maps every value to 0; other columns are ignored.
+equal distances go to the entry with more verbatim rows, then to the smaller ref_id; one name of several entries goes to
+the smallest ref_id; names of one or two letters must be met exactly, those of three or four but for a swapped or doubled
+letter, up to eleven but for one edit, longer ones but for two; values with digits or markup aren't learnt; rows without
+a company teach nothing; an empty reference list maps every value to 0; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,42 +28,16 @@ import unicodedata
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.nulls import is_missing
+from ledgerloom.runtime import cut
+
+MAX_NAMES = 20_000
+LEAST_COMPANIES, LEAST_SHARE = 2, 0.75
+MOST_EDITS = 2
 
-MAX_REFERENCE = 20_000
-MAX_VALUE = 80
-
-# Business terms for entries of an industry list, by a word of the entry. They stand beside the list's own other names,
-# which are incomplete; a caller with another list passes its own.
-INDUSTRY_TERMS = {
-    "software": "software engineering; software apps; app development; softw dev; software dev; it software",
-    "freight": "freight; trucking freight; trucking; third party logistics; logistik; transport logistics; freight logistics; shipping",
-    "food": "food mfg; food manufacturing; packaged food; food ingredients manufacturing; lebensmittelproduktion; food industry; food",
-    "retail": "retail stores; shops retail; retailer; einzelhandel; shops; stores",
-    "hospital": "health care clinics; health care svcs; health care services; health care; medical care; hospitals; hospital; clinics; gesundheitswesen",
-    "construction": "bau construction; bau; building construction; general contracting; general contractor; constr; construction company",
-    "banking": "bank services; banking deposits; retail banking; banque; bank; bankwesen",
-    "insurance": "insurance brokerage; insurance svcs; insurance services; ins underwriting; insurance underwriting; versicherung; assurance",
-    "electrical": "electrical mfg; elec mfg; electrical goods manufacture; elektro fertigung; electrical goods; electronics manufacturing",
-    "renewable": "clean energy; renewables; solar wind power; erneuerbare energie; erneuerbare energien; solar energy; wind energy",
-    "education": "higher ed; tertiary education; colleges universities; university; college; hochschule",
-    "hospitality": "hotel lodging; hotels resorts; hospitality svcs; hospitality services; hotellerie; hotel",
-    "telecommunications": "telco; telecoms; telecomm; mobile network operator; telekommunikation; telecom services",
-    "pharmaceuticals": "pharma mfg; drug manufacturing; pharmaceutical products; pharmazie; pharmaceutical; drug maker",
-    "legal": "legal svcs; law practice; lawyers; attorneys at law; attorneys; rechtsberatung; legal",
-    "staffing": "staffing; recruiting; recruiting staffing; hr recruiting; temp agency; personalvermittlung; staffing agency",
-    "publishing": "publishing house; magazines publishing; book publishing; verlag; publishers",
-    "mining": "mining metals; metals ore; ore extraction; bergbau; metals; metals mining",
-    "agriculture": "agri; agric; crop farming; landwirtschaft; agricultural; farms",
-    "textiles": "textil; textile; textile mfg; fabrics textiles; weaving mill; fabrics; textile manufacturing",
-    "automotive": "auto parts; motor vehicles; automotive oem; vehicles automotive; automobile; cars; vehicles",
-    "estate": "realty; property mgmt; property management; immobilien; real estate agency",
-    "advertising": "advertising promo; adv services; ad agency; werbung; advertising agency; marketing advertising",
-    "waste": "waste mgmt; garbage recycling; waste collection; abfallwirtschaft; garbage; waste disposal",
-}
 _FILLER = {"and", "und", "et", "y"}
 _LEAD = re.compile(r"^(?:industry|sector|branch|branche|field|business)\s*[:\-–—]\s*", re.I)
 _LEAD2 = re.compile(r"^sector\s+-\s+|^[\-*•·]+\s*", re.I)
@@ -123,35 +102,33 @@ def distance(a: str, b: str, most: float) -> float:
     return prev[-1]
 
 
+def limit(name: str) -> float:
+    """The largest distance at which a value still means this name. Short names become others by one letter."""
+    n = len(name)
+    return 0.0 if n < 3 else 0.8 if n < 5 else 1.0 if n < 12 else 2.0
+
+
+def reach(name: str) -> int:
+    """Letters to leave out of a name so that all values within its limit share a text with it."""
+    return 0 if len(name) < 3 else 1 if len(name) < 12 else MOST_EDITS
+
+
 class SymmetricDelete:
-    """Lookup of one list. `entries`: (ref_id, value, other names); `counts`: verbatim rows per ref_id."""
+    """Lookup in one list. `names`: (name in normal form, ref_id, verbatim rows of the entry)."""
 
-    def __init__(self, entries, counts=None, terms=None, max_edits: int = 1):
-        self.max_edits, self.counts = max_edits, counts or {}
+    def __init__(self, names):
         self.exact: dict[str, int] = {}
-        for ref_id, value, others in entries:
-            for name in [value, *(others or "").split(";")]:
-                self._add(name, ref_id)
-        for ref_id, value, _ in entries:
-            words = set(normal(value).split())
-            for key, names in (terms or {}).items():
-                if key in words:
-                    for name in names.split(";"):
-                        self._add(name, ref_id)
+        self.counts: dict[int, int] = {}
+        self.longest = 0
+        for name, ref_id, n in names:
+            self.exact[name] = min(ref_id, self.exact.get(name, ref_id))
+            self.counts[ref_id] = n
+            self.longest = max(self.longest, len(name))
         self.table = defaultdict(set)
         for name in self.exact:
-            for d in deletions(name, self.edits(name)):
+            for d in deletions(name, reach(name)):
                 self.table[d].add(name)
 
-    def _add(self, name: str, ref_id: int) -> None:
-        for n in forms(name):
-            self.exact.setdefault(n, ref_id)
-            self.exact.setdefault(n.replace(" ", ""), ref_id)
-
-    def edits(self, name: str) -> int:
-        """Short words allow no edit: one letter makes another word of them."""
-        return 0 if len(name) < 5 else min(self.max_edits, 1 if len(name) < 12 else self.max_edits)
-
     def find(self, value: str) -> int:
         written = forms(value)
         for n in written:
@@ -159,11 +136,11 @@ class SymmetricDelete:
                 return self.exact[n]
         ranked = []
         for n in written:
-            if len(n) > MAX_VALUE:
-                continue
-            near = set().union(*(self.table.get(d, ()) for d in deletions(n, self.max_edits)))
+            if len(n) > self.longest + MOST_EDITS:
+                continue  # too long for any name
+            near = set().union(*(self.table.get(d, ()) for d in deletions(n, MOST_EDITS)))
             for name in near:
-                if (dist := distance(n, name, self.edits(name))) <= self.edits(name):
+                if (dist := distance(n, name, limit(name))) <= limit(name):
                     ref = self.exact[name]
                     ranked.append((dist, -self.counts.get(ref, 0), ref))
         return min(ranked)[2] if ranked else 0
@@ -229,71 +206,139 @@ class HeadCount:
         return 0
 
 
-def build(reference: DataFrame, values: DataFrame, terms=INDUSTRY_TERMS) -> dict:
-    """Finders by column name. The reference list is small by contract; larger lists are refused, not cut."""
-    rows = reference.limit(MAX_REFERENCE + 1).collect()
-    if len(rows) > MAX_REFERENCE:
-        raise ValueError(f"the reference list has more than {MAX_REFERENCE} rows; it can't be broadcast")
-    columns = sorted({r["column_name"] for r in rows})
-    refs = {(r["column_name"], r["ref_value"]): r["ref_id"] for r in rows}
-    # how often each entry occurs verbatim: one counting scan, at most as many counters as entries
-    aggs = [
-        F.count_if(F.col(c) == v).alias(f"n{i}") for i, (c, v) in enumerate(refs) if c in values.columns
-    ]
-    counted = values.agg(*aggs).first().asDict() if aggs else {}
-    counts = {ref: counted.get(f"n{i}", 0) for i, ref in enumerate(refs.values())}
-    out = {}
-    for c in columns:
-        entries = sorted((r["ref_id"], r["ref_value"], r["also_known_as"]) for r in rows if r["column_name"] == c)
-        banded = all(re.fullmatch(r"\d+-\d+|\d+\+", e[1]) for e in entries)
-        out[c] = HeadCount(entries) if banded else SymmetricDelete(entries, counts, terms)
-    return out
-
+def names_of(reference: DataFrame, counts: DataFrame) -> DataFrame:
+    """column_name, name, ref_id, n of every accepted spelling in normal form, also without blanks; n: verbatim rows."""
 
-def map_values(df: DataFrame, reference: DataFrame, columns=("industry", "size"), terms=INDUSTRY_TERMS) -> DataFrame:
-    """row_id, column_name, value, ref_id of every value that isn't missing and isn't written as in the list."""
-    finders = df.sparkSession.sparkContext.broadcast(build(reference, df, terms))
-    known = {}
-    for c in columns:
-        known[c] = [r["ref_value"] for r in reference.filter(F.col("column_name") == c).select("ref_value").collect()]
-    cells = F.explode(
-        F.array(
-            *[
-                F.when(~is_missing(F.col(c)) & ~F.col(c).isin(known[c]), F.struct(F.lit(c).alias("c"), F.col(c).alias("v")))
-                for c in columns
-            ]
-        )
-    )
-    todo = df.select("row_id", cells.alias("x")).filter(F.col("x").isNotNull()).select(
-        "row_id", F.col("x.c").alias("column_name"), F.col("x.v").alias("value")
-    )
+    @F.pandas_udf("array<string>")
+    def all_forms(value: pd.Series, others: pd.Series) -> pd.Series:
+        out = []
+        for v, o in zip(value, others):
+            found = [n for name in [v or "", *(o or "").split(";")] for n in forms(name)]
+            out.append(list(dict.fromkeys(x for n in found for x in (n, n.replace(" ", "")))))
+        return pd.Series(out)
+
+    x = reference.join(counts, ["column_name", "ref_id"], "left")
+    x = x.select("column_name", "ref_id", F.coalesce("n", F.lit(0)).alias("n"), F.explode(all_forms("ref_value", "also_known_as")).alias("name"))
+    return x.groupBy("column_name", "name").agg(F.min(F.struct("ref_id", "n")).alias("b")).select("column_name", "name", "b.ref_id", "b.n")
+
+
+def lookup(values: DataFrame, names: DataFrame) -> DataFrame:
+    """values (column_name, value and others) with ref_id, 0 where no name is near enough."""
+    few = names.limit(MAX_NAMES + 1).collect()
+    if len(few) > MAX_NAMES:
+        return _lookup_by_join(values, names)
+    by_column = defaultdict(list)
+    for r in few:
+        by_column[r["column_name"]].append((r["name"], r["ref_id"], r["n"]))
+    finders = values.sparkSession.sparkContext.broadcast({c: SymmetricDelete(n) for c, n in by_column.items()})
 
     @F.pandas_udf("int")
-    def lookup(column: pd.Series, value: pd.Series) -> pd.Series:
-        memo = _memo()
-        find = finders.value
-        out = []
-        for key in zip(column, value):
-            if (hit := memo.get(key)) is None:
-                hit = find[key[0]].find(key[1]) if key[0] in find else 0
-                if len(memo) > 200_000:
-                    memo.clear()
-                memo[key] = hit
-            out.append(hit)
-        return pd.Series(out, dtype="int32")
-
-    return todo.withColumn("ref_id", lookup("column_name", "value"))
-
-
-def _memo(store: dict = {}) -> dict:  # noqa: B006 - one memo per worker and task broadcast
-    from pyspark import TaskContext
-
-    ctx = TaskContext.get()
-    key = (ctx.stageId(), ctx.attemptNumber()) if ctx else None
-    if store.get("key") != key:
-        store.clear()
-        store.update(key=key, memo={})
-    return store["memo"]
+    def find(column: pd.Series, value: pd.Series) -> pd.Series:
+        known = finders.value
+        return pd.Series([known[c].find(v) if c in known else 0 for c, v in zip(column, value)], dtype="int32")
+
+    return values.withColumn("ref_id", find("column_name", "value"))
+
+
+def _lookup_by_join(values: DataFrame, names: DataFrame) -> DataFrame:
+    """`lookup` for a list of any length: both sides meet on their deletions."""
+
+    @F.pandas_udf("array<string>")
+    def cuts(name: pd.Series) -> pd.Series:
+        return pd.Series([sorted(deletions(n, reach(n))) for n in name])
+
+    @F.pandas_udf("array<struct<form:string,place:int,cuts:array<string>>>")
+    def written(value: pd.Series) -> pd.Series:
+        return pd.Series([[(n, k, sorted(deletions(n, MOST_EDITS))) for k, n in enumerate(forms(v))] for v in value])
+
+    @F.pandas_udf("double")
+    def far(form: pd.Series, name: pd.Series) -> pd.Series:
+        out = ((distance(f, n, limit(n)), limit(n)) for f, n in zip(form, name))
+        return pd.Series([d if d <= most else None for d, most in out], dtype="float64")
+
+    longest = names.groupBy("column_name").agg(F.max(F.length("name")).alias("longest"))
+    each = values.select("column_name", "value").distinct().join(longest, "column_name")
+    each = each.select("column_name", "value", "longest", F.explode(written("value")).alias("w"))
+    exact = each.select("column_name", "value", F.col("w.form").alias("name"), F.col("w.place").alias("place")).join(names, ["column_name", "name"])
+    exact = exact.groupBy("column_name", "value").agg(F.min_by("ref_id", "place").alias("exact_id"))
+    near = each.filter(F.length("w.form") <= F.col("longest") + MOST_EDITS)
+    near = near.select("column_name", "value", F.col("w.form").alias("form"), F.explode("w.cuts").alias("cut"))
+    by_cut = names.select("column_name", "name", "ref_id", "n", F.explode(cuts("name")).alias("cut"))
+    near = near.join(by_cut, ["column_name", "cut"]).select("column_name", "value", "form", "name", "ref_id", "n").distinct()
+    near = near.withColumn("d", far("form", "name")).filter("d IS NOT NULL")
+    near = near.groupBy("column_name", "value").agg(F.min(F.struct("d", -F.col("n"), "ref_id")).alias("b"))
+    near = near.select("column_name", "value", F.col("b.ref_id").alias("near_id"))
+    x = values.join(exact, ["column_name", "value"], "left").join(near, ["column_name", "value"], "left")
+    return x.withColumn("ref_id", F.coalesce("exact_id", "near_id", F.lit(0))).drop("exact_id", "near_id")
+
+
+def _cells(df: DataFrame, columns, *more: str) -> DataFrame:
+    """The columns in `more`, column_name, value of every value that isn't missing."""
+    each = F.array(*[F.when(~is_missing(F.col(c)), F.struct(F.lit(c).alias("c"), F.col(c).alias("v"))) for c in columns])
+    x = df.select(*more, F.explode(each).alias("x")).filter("x IS NOT NULL")
+    return x.select(*more, F.col("x.c").alias("column_name"), F.col("x.v").alias("value"))
+
+
+def learn_names(cells: DataFrame, values: DataFrame) -> DataFrame:
+    """column_name, name, ref_id of names learnt from companies. cells: company, column_name, value; values: with form and ref_id."""
+    x = cells.join(values.select("column_name", "value", "form", "ref_id"), ["column_name", "value"])
+    said = x.filter("ref_id > 0").groupBy("company", "column_name", "ref_id").agg(F.count(F.lit(1)).alias("k"))
+    said = said.groupBy("company", "column_name").agg(F.max(F.struct("k", -F.col("ref_id"))).alias("b"))
+    said = said.select("company", "column_name", (-F.col("b.col2")).alias("ref_id"))
+    plain = F.col("form").rlike(r"^[a-z ]{2,}$") & ~F.col("value").rlike(r"[<>{}]|http")
+    open_ = x.filter((F.col("ref_id") == 0) & plain).select("company", "column_name", F.col("form").alias("name")).distinct()
+    votes = open_.join(said, ["company", "column_name"]).groupBy("column_name", "name", "ref_id").agg(F.count(F.lit(1)).alias("k"))
+    votes = votes.groupBy("column_name", "name").agg(F.sum("k").alias("total"), F.max(F.struct("k", -F.col("ref_id"))).alias("b"))
+    sure = (F.col("b.k") >= LEAST_COMPANIES) & (F.col("b.k") >= LEAST_SHARE * F.col("total"))
+    return votes.filter(sure).select("column_name", "name", (-F.col("b.col2")).cast("int").alias("ref_id"))
+
+
+def map_values(df: DataFrame, reference: DataFrame, columns=("industry", "size"), company: str | None = "company_id") -> DataFrame:
+    """row_id, column_name, value, ref_id of every value that isn't missing and isn't written as in the list."""
+    reference = reference.filter(F.col("column_name").isin(*columns))
+    counted = cut(_cells(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    as_listed = reference.select("column_name", F.col("ref_value").alias("value"), "ref_id")
+    counts = counted.join(as_listed, ["column_name", "value"]).select("column_name", "ref_id", "n")
+    banded = _bands(reference)
+    words = [c for c in columns if c not in banded]
+    names = cut(names_of(reference.filter(F.col("column_name").isin(*words)), counts))
+    first = cut(lookup(counted.filter(F.col("column_name").isin(*words)).drop("n").withColumn("form", _normal("value")), names))
+    mapped = first
+    if company is not None and words:
+        learnt = learn_names(_cells(df.filter(F.col(company).isNotNull()).withColumn("company", F.col(company)), words, "company"), first)
+        ranks = names.groupBy("column_name", "ref_id").agg(F.max("n").alias("n"))
+        both = learnt.join(ranks, ["column_name", "ref_id"]).select("column_name", "name", "ref_id", "n")
+        again = lookup(first.filter("ref_id = 0").drop("ref_id"), cut(names.unionByName(both)))
+        mapped = first.filter("ref_id > 0").unionByName(again)
+    mapped = mapped.select("column_name", "value", "ref_id")
+    if banded:
+        bands = df.sparkSession.sparkContext.broadcast({c: HeadCount(e) for c, e in banded.items()})
+
+        @F.pandas_udf("int")
+        def band(column: pd.Series, value: pd.Series) -> pd.Series:
+            return pd.Series([bands.value[c].find(v) for c, v in zip(column, value)], dtype="int32")
+
+        numbers = counted.filter(F.col("column_name").isin(*banded))
+        mapped = mapped.unionByName(numbers.select("column_name", "value", band("column_name", "value").alias("ref_id")))
+    mapped = cut(mapped.join(as_listed.select("column_name", "value"), ["column_name", "value"], "left_anti"))
+    return _cells(df, columns, "row_id").join(mapped, ["column_name", "value"]).select("row_id", "column_name", "value", "ref_id")
+
+
+def _normal(value: str) -> Column:
+    return F.pandas_udf(lambda s: s.map(normal), "string")(value)
+
+
+def _bands(reference: DataFrame) -> dict[str, list[tuple]]:
+    """The entries of columns whose list is one of number bands only; such a list is a handful of rows."""
+    is_band = F.col("ref_value").rlike(r"^(\d+-\d+|\d+\+)$")
+    columns = reference.groupBy("column_name").agg(F.bool_and(is_band).alias("all")).filter("all").select("column_name")
+    rows = reference.join(columns, "column_name", "left_semi").limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} bands; a list of bands is broadcast")
+    out = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r["ref_id"]):
+        out[r["column_name"]].append((r["ref_id"], r["ref_value"], r["also_known_as"]))
+    return dict(out)
 
 
 def misses(mapped: DataFrame) -> DataFrame:
