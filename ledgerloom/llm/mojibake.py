@@ -1,14 +1,16 @@
 """Garbled text from wrong character encoding: forms of clean words under every chain, joined with the corpus's words.
 
 A chain is "text was written in one encoding and read in another", once or twice. The words of all cells are reduced to
-the distinct ones with a character outside ASCII (combined on the map side). Their clean part generates its garbled form
+the distinct ones with a character outside ASCII (combined on the map side). Every clean one generates its garbled form
 under every chain; a hash join of the corpus's words with these forms finds garbled words and gives their originals.
-Words whose clean form occurs nowhere are read against the same table one level down: the garbled forms of every
-character of the common alphabets, with all of a word's characters under one chain. Results are verified: the restored
-word, garbled again under the chain, must give the word found. Cells are marked and mended by a join of their words with
-the garbled words only.
+Originals are verified by the join itself: the original, garbled under the chain, is the word found.
+
+Only words that the join doesn't find are judged by themselves, against the same table one level down: the garbled forms
+of every character of the common alphabets, with all of a word's characters under one chain, and letters that can't stand
+where they do. The column `how` tells the ways apart (join, characters, lost); the README gives their shares.
 
 A word with U+FFFD has lost characters: it is marked, and restored only if exactly one clean word of the corpus fits.
+Where two words are garbled forms of each other, the more frequent one is the original, then the smaller one.
 
 Defined results: NULL, empty and plain ASCII texts are never marked; a text may be garbled in part; texts already clean
 (capitals such as 'SAO' with a tilde, Cyrillic names) stay as they are; a cell is listed once however many words it has;
@@ -22,7 +24,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOST = "�"
@@ -174,8 +176,10 @@ def words_of(c: DataFrame, key: str = "row_id") -> DataFrame:
 
 
 def garbled_words(words: DataFrame) -> DataFrame:
-    """word, original (NULL where it can't be restored) of every garbled word in `words`, a table with a column word."""
+    """word, original (NULL where it can't be restored), how: every garbled word in `words`, a table with a column word."""
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # few bytes that mean much work: spread by number, not by size
+    counted = counted.repartition(max(16, 2 * words.sparkSession.sparkContext.defaultParallelism), "word")
 
     # Each distinct word gives one row (form = '') with what its own shape says, and, if it is clean, its garbled forms.
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,9 +197,9 @@ def garbled_words(words: DataFrame) -> DataFrame:
                 m = chars.mend(w) if _PLAIN.search(w) else None
                 alone = None if m else mend_alone(w)
                 if m or alone or _C1.search(w) or _LEAD_AT_END.search(w):
-                    row(w, w, "garbled", c, m[0] if m else alone)
+                    row(w, w, "odd", c, m[0] if m else alone)
                     continue
-                row(w, w, "word", c)
+                row(w, w, "clean", c)
                 for g in {garble(w, chain) for chain in CHAINS} - {None}:
                     row(w, g, "form", c)
                 row(w, _lose(w), "lossy", c)
@@ -203,23 +207,39 @@ def garbled_words(words: DataFrame) -> DataFrame:
 
     x = counted.mapInPandas(expand, "word string, form string, kind string, n bigint, mended string")
     # One shuffle on the form brings found words and generated forms together.
-    own = F.col("kind").isin("lost", "garbled", "word")
+    own = F.col("kind").isin("lost", "odd", "clean")
     form = F.struct(F.col("n"), F.col("word").alias("original"))
     g = x.groupBy("form").agg(
         F.max(F.when(own, F.struct("kind", "n", "mended"))).alias("own"),
         F.max(F.when(F.col("kind") == "form", form)).alias("best"),
         F.min(F.when(F.col("kind") == "lossy", F.col("word"))).alias("lossy"),
         F.count_if(F.col("kind") == "lossy").alias("n_lossy"),
+    ).filter(F.col("own").isNotNull())
+    kind, joined = F.col("own.kind"), F.col("best").isNotNull()
+    # two words that both look clean may be forms of each other
+    turned = F.when(joined & (kind == "clean"), _is_form("best.original", "form"))
+    first = (F.col("best.n") > F.col("own.n")) | ((F.col("best.n") == F.col("own.n")) & (F.col("best.original") < F.col("form")))
+    how = (
+        F.when(joined & (~F.coalesce(turned, F.lit(False)) | first), "join")
+        .when(kind == "odd", "characters")
+        .when(kind == "lost", "lost")
     )
-    kind = F.col("own.kind")
     original = (
-        F.when(kind == "lost", F.when(F.col("n_lossy") == 1, F.col("lossy")))
-        .when(F.col("best").isNotNull(), F.col("best.original"))
-        .otherwise(F.col("own.mended"))
+        F.when(F.col("how") == "join", F.col("best.original"))
+        .when(F.col("how") == "characters", F.col("own.mended"))
+        .when(F.col("n_lossy") == 1, F.col("lossy"))
     )
-    # a clean-looking word is garbled if a clean word that's at least as frequent becomes it under a chain
-    hit = kind.isin("lost", "garbled") | (F.col("best").isNotNull() & (F.col("best.n") >= F.col("own.n")))
-    return g.filter(F.col("own").isNotNull() & hit).select(F.col("form").alias("word"), original.alias("original"))
+    found = g.withColumn("how", how).filter(F.col("how").isNotNull())
+    return found.select(F.col("form").alias("word"), original.alias("original"), "how")
+
+
+def _is_form(form: str, word: str) -> Column:
+    """`form` is a garbled form of `word`; NULL stays NULL."""
+
+    def run(forms: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series([f is not None and f in {garble(w, chain) for chain in CHAINS} for f, w in zip(forms, words)], dtype=bool)
+
+    return F.pandas_udf(run, "boolean")(form, word)
 
 
 def _lose(word: str) -> str:
@@ -233,11 +253,20 @@ def find_garbled(df: DataFrame, columns=("name", "description"), key: str = "row
     return words.join(garbled_words(words).select("word"), "word", "left_semi").select(key, "column_name").distinct()
 
 
+def ways_found(df: DataFrame, columns=("name", "description"), key: str = "row_id") -> DataFrame:
+    """how, n_words, n_cells: what each way of finding adds; a cell counts for the first of join, lost, characters."""
+    words = words_of(cells(df, columns, key), key)
+    hits = words.join(garbled_words(words).select("word", "how"), "word")
+    order = F.when(F.col("how") == "join", 0).when(F.col("how") == "lost", 1).otherwise(2)
+    per_cell = hits.groupBy(key, "column_name").agg(F.min_by("how", order).alias("how")).groupBy("how").agg(F.count(F.lit(1)).alias("n_cells"))
+    return hits.groupBy("how").agg(F.countDistinct("word").alias("n_words")).join(per_cell, "how", "left")
+
+
 def restore(df: DataFrame, columns=("name", "description"), key: str = "row_id") -> DataFrame:
     """key, column_name, text, restored, complete (false where some word could not be restored)."""
     c = cells(df, columns, key)
     words = words_of(c, key)
-    hits = words.join(garbled_words(words), "word").groupBy(key, "column_name").agg(
+    hits = words.join(garbled_words(words).drop("how"), "word").groupBy(key, "column_name").agg(
         F.map_from_entries(F.collect_list(F.struct("word", F.coalesce("original", "word")))).alias("_map"),
         F.bool_and(F.col("original").isNotNull()).alias("complete"),
     )

@@ -32,6 +32,10 @@ def p5_restored(spark: SparkSession, d: str) -> DataFrame:
     return mojibake.restore(table(spark, d, "enriched_companies"))
 
 
+def p5_ways(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.ways_found(table(spark, d, "enriched_companies"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return incremental.dedupe_batches(table(spark, d, "enriched_companies"), table(spark, d, "incoming_companies"), COUNTRY_CODES)
 
@@ -80,6 +84,7 @@ QUERIES = {
         p1_representatives,
         p5_found,
         p5_restored,
+        p5_ways,
         p6_found,
         p7_found,
         p7_misses,
