@@ -41,6 +41,20 @@ class Plan:
     per: np.ndarray
     n_containers: int
 
+    def find(self, length: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The row of the plan that holds each item of this length and rank. Rows are ordered by length and start.
+
+        Length (by its place among the plan's lengths) and rank make one key; both are small enough together for any
+        corpus of less than 2 ** 63 items and lengths.
+        """
+        lengths = np.unique(self.length)
+        step = int(self.start.max(initial=0)) + 2
+        if len(lengths) * step >= 1 << 63:
+            raise OverflowError("more items and lengths than fit one key")
+        starts = np.searchsorted(lengths, self.length) * step + self.start
+        wanted = np.searchsorted(lengths, length) * step + np.minimum(rank, step - 1)
+        return np.searchsorted(starts, wanted, side="right") - 1
+
 
 class _Stock:
     """Lengths with items left: counters, and one bit per length in rising and falling order.
@@ -176,8 +190,7 @@ def pack(sizes: DataFrame, capacities: list[int], key: str = "doc_id") -> DataFr
         for c in capacity.unique():
             p, at = shared.value[int(c)], (capacity == c).to_numpy()
             ln, r = length.to_numpy()[at].astype(np.int64), rank.to_numpy()[at].astype(np.int64)
-            # lengths and ranks as one sorted key
-            k = np.searchsorted(_key(p.length, p.start), _key(ln, r), side="right") - 1
+            k = p.find(ln, r)
             out[at] = p.base[k] + (r - p.start[k]) // p.per[k]
         return pd.Series(out)
 
@@ -190,10 +203,6 @@ def pack(sizes: DataFrame, capacities: list[int], key: str = "doc_id") -> DataFr
     )
 
 
-def _key(length: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    return length * np.int64(1 << 47) + rank
-
-
 def pack_documents(docs: DataFrame, specs: DataFrame, path: str = DEFAULT_VOCABULARY, key: str = "doc_id") -> DataFrame:
     """spec_id, key, part_no, n_tokens, container_id of every document with at least one token under every spec."""
     rows = specs.select("spec_id", "capacity_tokens").collect()  # one row per kind of container

@@ -31,7 +31,7 @@ BUCKETS = 1 << 16
 WINDOW = 40  # words; a longer run without a stop is cut into windows
 
 _STOPS = re.compile(r"[.!?]+(?=\s)|\n+|</?(?:p|br|li|div|h\d)\b[^>]*>")
-_ASIDE = re.compile(r"\([^()]{0,200}\)|https?://\S+|<[^<>]{0,200}>")
+_ASIDE = re.compile(r"\([^()]*\)|https?://\S+|<[^<>]*>")  # each try ends at the next bracket, so this is linear
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 
 
