@@ -39,7 +39,7 @@ def header_names(header: Column, delimiter: Column) -> Column:
 
 # What a column holds, by its name (case, blanks and punctuation don't count). The whole name must fit; first match wins.
 # Kept apart from the loader's alias table: this one also knows fields outside the standard record.
-_OWNER = "(?:company|contact|business|firm|account|organi[sz]ation|input|inputcompany|our|official|main)?"
+OWNER = "(?:company|contact|business|firm|account|organi[sz]ation|input|inputcompany|our|official|main)?"
 FIELD_WORDS = (
     ("email", "e?mail(?:s|id|address|addresses)?"),
     ("linkedin", "linkedin(?:url|link|page|profile|company|address)?|liurl|liprofile|li"),
@@ -65,5 +65,5 @@ def header_field(name: Column) -> Column:
     key = F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]+", "")
     out = F.when(F.lit(False), "")
     for field, words in FIELD_WORDS:
-        out = out.when(key.rlike(rf"^{_OWNER}(?:{words})$"), field)
+        out = out.when(key.rlike(rf"^{OWNER}(?:{words})$"), field)
     return out

@@ -66,29 +66,44 @@ def partial_ratio_udf(a: Column, b: Column) -> Column:
     return F.pandas_udf(run, "double")(a, b)
 
 
-def _grams(c: Column, q: int) -> Column:
-    """Numbered q-grams: the second occurrence of a gram is another one, so counts of shared grams are exact."""
+def _grams(texts: DataFrame, q: int) -> DataFrame:
+    """texts with one row per numbered q-gram g: the second occurrence of a gram in a text is another one, so counts of
+    shared grams are exact. Linear in the length of the texts."""
     raw = F.when(
-        F.length(c) >= q, F.transform(F.sequence(F.lit(1), F.length(c) - q + 1), lambda i: F.substring(c, i, F.lit(q)))
+        F.length("s") >= q, F.transform(F.sequence(F.lit(1), F.length("s") - q + 1), lambda i: F.substring("s", i, F.lit(q)))
     ).otherwise(F.array().cast("array<string>"))
-    return F.transform(
-        raw,
-        lambda g, i: F.concat(
-            g, F.lit("\x01"), F.size(F.filter(F.slice(raw, F.lit(1), i + 1), lambda o: o == g)).cast("string")
-        ),
-    )
+    each = texts.select("*", F.explode(raw).alias("g")).groupBy(*texts.columns, "g").agg(F.count(F.lit(1)).alias("k"))
+    return each.select(*texts.columns, F.explode(F.sequence(F.lit(1), F.col("k"))).alias("k"), "g").withColumn(
+        "g", F.concat("g", F.lit("\x01"), F.col("k").cast("string"))
+    ).drop("k")
 
 
 def short_bounds(threshold: float, q: int) -> tuple[int, int]:
-    """The longest length for which shared q-grams guarantee nothing, and the largest distance of a match there."""
+    """The longest length for which shared q-grams guarantee nothing, and the largest distance of a match there; (0, 0) if
+    every length has its guarantee. Raises where there is no longest length."""
 
     def far(n: int) -> int:
         return int((n + int(n * (200 - threshold) / threshold + 1e-9)) * (1 - threshold / 100) + 1e-9)
 
-    short = [n for n in range(1, 1000) if n - q + 1 - q * far(n) < 1]
+    # a longer text gains 1 - q * slope shared grams a letter, so a bound exists where that is above 0
+    gain = 1 - q * (1 + (200 - threshold) / threshold) * (1 - threshold / 100)
+    if gain <= 0:
+        raise ValueError(f"at {threshold} {q}-grams guarantee nothing at any length")
+    short = [n for n in range(1, int(2 * q / gain) + q + 2) if n - q + 1 - q * far(n) < 1]
     return (max(short), max(far(n) for n in short)) if short else (0, 0)
 
 
+def gram_length(threshold: float) -> int:
+    """The longest grams for which short texts are no more than one letter from their matches; 1 if there are none."""
+    for q in (3, 2):
+        try:
+            if short_bounds(threshold, q)[1] <= 1:
+                return q
+        except ValueError:
+            continue
+    return 1
+
+
 def _shortened(c: Column, most: int) -> Column:
     """The text and all that is left of it after leaving out up to `most` letters."""
     out, edge = F.array(c), F.array(c)
@@ -111,49 +126,51 @@ def _shortened(c: Column, most: int) -> Column:
     return out
 
 
+HOT = 5_000  # texts that one task compares for one gram
+
+
 def similar_pairs(keys: DataFrame, threshold: float, key: str = "key") -> DataFrame:
-    """left, right, score of all pairs of distinct texts with ratio >= threshold (left < right).
+    """left, right, score of all pairs of distinct texts with ratio >= threshold (left < right). Threshold: above 0 to 100.
 
     Exact prefix filter: with threshold t, texts of length L share at least `need` numbered q-grams with any match, so two
     matches share one of their (grams - need + 1) rarest grams. Pairs meet on those grams only; texts too short for a
-    guarantee (five letters at 90) meet on what is left after leaving out letters. Candidates are verified by the exact
-    score. Lower thresholds take shorter grams.
+    guarantee (five letters at 90) meet on what is left after leaving out letters. Lower thresholds take shorter grams;
+    single letters always give a guarantee, as matches have a common subsequence of at least t / (200 - t) of L. A gram of
+    many texts is split over several tasks. Edit distance, which is no more than the distance that the score is made of,
+    drops most candidates before the exact score is asked.
     """
     t = float(threshold)
-    # the longest grams for which short texts are no more than one letter from their matches
-    q = next(n for n in (3, 2, 1) if n == 1 or short_bounds(t, n)[1] <= 1)
+    if not 0 < t <= 100:
+        raise ValueError("the threshold is above 0 and at most 100")
+    q = gram_length(t)
     shrink = t / (200.0 - t)  # least ratio of lengths
     k = keys.select(F.col(key).alias("s")).filter("s IS NOT NULL").distinct().withColumn("n", F.length("s"))
     longest = F.floor(F.col("n") / F.lit(shrink) + 1e-9)
     d_max = F.floor((F.col("n") + longest) * F.lit(1 - t / 100.0) + 1e-9)
-    k = cut(k.withColumn("need", (F.col("n") - q + 1 - q * d_max).cast("int")))
-    grams = k.filter("need >= 1").select("s", "n", "need", F.explode(_grams(F.col("s"), q)).alias("g"))
+    need = F.col("n") - q + 1 - q * d_max if q > 1 else F.ceil(F.col("n") * F.lit(shrink) - 1e-9)
+    k = cut(k.withColumn("need", need.cast("int")))
+    grams = _grams(k.filter("need >= 1"), q)
     freq = grams.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     order = Window.partitionBy("s").orderBy("f", "g")
     indexed = (
         grams.join(freq, "g")
         .withColumn("r", F.row_number().over(order))
         .filter(F.col("r") <= F.col("n") - q + 1 - F.col("need") + 1)
-        .select("s", "n", "g")
+        .select("s", "n", "g", F.ceil(F.col("f") / HOT).cast("int").alias("parts"))
     )
     fits = lambda a, b: F.least(a, b) >= F.greatest(a, b) * F.lit(shrink) - 1e-9
-    l, r = indexed, indexed.select(F.col("s").alias("s2"), F.col("n").alias("n2"), "g")
-    cand = l.join(r, "g").filter(F.col("s") < F.col("s2")).filter(fits(F.col("n"), F.col("n2"))).select("s", "s2")
+    l = indexed.withColumn("part", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int")).drop("parts")
+    r = indexed.select(F.col("s").alias("s2"), F.col("n").alias("n2"), "g", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    cand = l.join(r, ["g", "part"]).filter(F.col("s") < F.col("s2")).filter(fits(F.col("n"), F.col("n2"))).select("s", "s2")
     # short texts: two texts at Indel distance d have a text in common after leaving out d letters of each
-    n_short, d_short = short_bounds(t, q)
+    n_short, d_short = short_bounds(t, q) if q > 1 else (0, 0)
     if n_short:
         reach = int(n_short / shrink + 1e-9)
         cuts = k.filter(F.col("n") <= reach).select("s", "n", F.explode(_shortened(F.col("s"), d_short)).alias("cut"))
         other = cuts.filter("n <= " + str(n_short)).select(F.col("s").alias("a"), "cut")
         near = cuts.join(other, "cut").filter("a != s")
         cand = cand.unionByName(near.select(F.least("a", "s").alias("s"), F.greatest("a", "s").alias("s2")))
-    cand = cand.distinct()
-    # bag bound: shared letters can't be fewer than the subsequence needs
-    bag = F.size(F.array_intersect(F.split("s", ""), F.split("s2", "")))
-    cand = cand.filter(bag > 0)
+    room = f"cast(floor((length(s) + length(s2)) * {1 - t / 100.0!r} + 1e-9) as int)"
+    cand = cand.distinct().filter(F.expr(f"levenshtein(s, s2, {room}) >= 0"))
     scored = cand.withColumn("score", ratio_udf("s", "s2"))
-    return scored.filter(F.col("score") >= t - 1e-9).select(
-        F.col("s").alias("left"), F.col("s2").alias("right"), "score"
-    )
-
-
+    return scored.filter(F.col("score") >= t - 1e-9).select(F.col("s").alias("left"), F.col("s2").alias("right"), "score")

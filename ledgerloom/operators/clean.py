@@ -122,6 +122,17 @@ def clean(df: DataFrame, settings: Settings | None = None) -> DataFrame:
     return merge_clusters(cluster(x, s.fuzzy_threshold))
 
 
+def with_fullness(df: DataFrame) -> DataFrame:
+    """df with `_filled`, the number of a row's filled columns, which the output order goes by."""
+    return df.withColumn("_filled", filled(df.drop("_filled"), (ORD,)))
+
+
+def in_output_order(df: DataFrame) -> DataFrame:
+    """Rows as they are written out: fuller ones first, then in order of arrival. Only a sink sorts."""
+    x = df if "_filled" in df.columns else with_fullness(df)
+    return x.orderBy(F.desc("_filled"), ORD)
+
+
 def clean_dataframe(df: DataFrame) -> DataFrame:
     return clean(df)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as X
 from ledgerloom.functions.nulls import clean_str, strip
+from ledgerloom.functions.tokens import token_budget
 from ledgerloom.operators.score import score_dataframe
 from ledgerloom.schema import Settings
 from ledgerloom.sources.html import best_description
@@ -25,9 +26,14 @@ PROMPT = (
 
 
 def prompt_text(about: Column, team: Column, home: Column, contact: Column, settings: Settings) -> Column:
-    """Non-empty texts in the order about, team, home, contact, cut to the token budget; NULL if there is none."""
+    """Non-empty texts in the order about, team, home, contact, cut to the token budget; NULL if there is none.
+
+    Tokens are those of the settings' vocabulary; without one, words.
+    """
     parts = [F.nullif(strip(F.coalesce(c, F.lit(""))), F.lit("")) for c in (about, team, home, contact)]
-    return F.nullif(X.token_budget(F.concat_ws("\n\n", *parts), settings.max_prompt_tokens), F.lit(""))
+    whole, most = F.concat_ws("\n\n", *parts), settings.max_prompt_tokens
+    cut = token_budget(whole, most, settings.token_vocabulary) if settings.token_vocabulary else X.token_budget(whole, most)
+    return F.nullif(cut, F.lit(""))
 
 
 def render_prompt(text: Column, name: Column, template: str = PROMPT) -> Column:
@@ -93,16 +99,19 @@ def payload(pages: DataFrame, answers: DataFrame | None = None) -> DataFrame:
         F.try_element_at("emails_found", F.lit(1)).alias("email"),
         F.try_element_at("phones_found", F.lit(1)).alias("phone"),
         F.when(from_page, ",web_scrape").when(~empty, ",llm_inferred").otherwise("").alias("_tag"),
+        F.col("parse_error").alias(FAILED) if "parse_error" in pages.columns else F.lit(None).cast("string").alias(FAILED),
     )
 
 
-FILLED = "description industry size ceo founder linkedin facebook twitter instagram email phone".split()
+FILLED = ("description", "industry", "size", "ceo", "founder", "linkedin", "facebook", "twitter", "instagram", "email", "phone")
+FAILED = "_failure"
 
 
 def fill(df: DataFrame, facts: DataFrame) -> DataFrame:
     """df with gaps filled from the facts of its domain and the source label appended."""
     url, label = best_url(F.col("website"), F.col("linkedin"))
     x = df.withColumns({"_domain": X.cache_domain(url), "_label": label})
+    more = [c for c in ("_cached",) if c in facts.columns]
     f = facts.select(
         F.col("domain").alias("_domain"), F.struct(*[c for c in facts.columns if c != "domain"]).alias("_f")
     )
@@ -110,6 +119,7 @@ def fill(df: DataFrame, facts: DataFrame) -> DataFrame:
     new = {c: merge_field(F.col(c), F.col(f"_f.{c}")) for c in FILLED}
     tag = F.concat(F.col("_label"), F.coalesce(F.col("_f._tag"), F.lit("")))
     new["source_used"] = append_source(F.col("source_used"), tag)
+    new |= {c: F.col(f"_f.{c}") for c in (FAILED, *more)}
     return x.withColumns(new).drop("_domain", "_label", "_f")
 
 
@@ -139,10 +149,37 @@ def domains_to_fetch(df: DataFrame, facts: DataFrame, ttl_days: int = 7) -> Data
 
 
 def enrich(df: DataFrame, pages: DataFrame, answers: DataFrame | None = None, settings: Settings | None = None) -> DataFrame:
-    """Rows already found first and unchanged, then the others filled, scored and stamped."""
+    """Rows already found first and unchanged, then the others filled, scored and stamped.
+
+    A record whose facts couldn't be worked out keeps its fields, with the reason in `_failure`, NOT_FOUND and 0. With
+    `score_cached` off, records whose facts were known before this run (`cached` in `pages`) keep their score and status.
+    """
     s = settings or Settings()
     done, todo = split_done(df, s.skip_found)
-    work = fill(follow_redirects(todo, pages, s) if "redirect_count" in pages.columns else todo, payload(pages, answers))
-    work = score_dataframe(work, s).withColumn("last_updated", X.now_iso())
-    work = work.withColumn("confidence_score", F.col("confidence_score").cast("string"))
-    return done.unionByName(work, allowMissingColumns=True)
+    facts = payload(pages, answers)
+    if not s.score_cached and "cached" in pages.columns:
+        known = pages.filter("cached").select(X.cache_domain(F.col("url")).alias("domain")).distinct().withColumn("_cached", F.lit(True))
+        facts = facts.join(known, "domain", "left")
+    work = fill(follow_redirects(todo, pages, s) if "redirect_count" in pages.columns else todo, facts)
+    old = {c: F.col(c).alias(f"_old_{c}") for c in ("confidence_score", "status")}
+    work = score_dataframe(work.select("*", *old.values()), s).withColumn("last_updated", X.now_iso())
+    failed, kept = F.col(FAILED).isNotNull(), F.coalesce(F.col("_cached"), F.lit(False)) if "_cached" in facts.columns else F.lit(False)
+    score, status = F.col("confidence_score").cast("string"), F.col("status")
+    work = work.withColumns(
+        {
+            "confidence_score": F.when(failed, "0").when(kept, F.col("_old_confidence_score")).otherwise(score),
+            "status": F.when(failed, "NOT_FOUND").when(kept, F.col("_old_status")).otherwise(status),
+        }
+    ).drop("_cached", *[f"_old_{c}" for c in old])
+    return done.withColumn("_skipped", F.lit(True)).unionByName(work.withColumn("_skipped", F.lit(False)), allowMissingColumns=True)
+
+
+def enrichment_stats(enriched: DataFrame) -> DataFrame:
+    """One row of what `enrich` did: processed, succeeded, failed, skipped."""
+    failed, skipped = F.col(FAILED).isNotNull(), F.col("_skipped")
+    return enriched.agg(
+        F.count_if(~skipped).alias("processed"),
+        F.count_if(~skipped & ~failed).alias("succeeded"),
+        F.count_if(~skipped & failed).alias("failed"),
+        F.count_if(skipped).alias("skipped"),
+    )

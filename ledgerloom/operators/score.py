@@ -23,7 +23,7 @@ BASE_SCORES = {
     "weak_signal": 30,
     "not_found": 0,
 }
-BONUS_MAX, CRITICAL_PENALTY, FLAG_PENALTY, FOUND_MIN, SHORT_DESCRIPTION = 5, 8, 10, 80, 30
+BONUS_MAX, CRITICAL_PENALTY, FLAG_PENALTY, FOUND_MIN, PARTIAL_MIN, SHORT_DESCRIPTION = 5, 8, 10, 80, 60, 30
 # Review flags in the order in which they are raised; two more are known but never raised.
 FLAGS = (
     "score_below_threshold",
@@ -65,6 +65,18 @@ def base_score(label: Column) -> Column:
     return out
 
 
+def score_for_source(label: str) -> int:
+    """Base score of one label; 0 for an unknown one."""
+    return BASE_SCORES.get(label, 0)
+
+
+def quick_status(score: int, all_critical: bool) -> str:
+    """Status of a score without any flags."""
+    if score >= FOUND_MIN and all_critical:
+        return "FOUND"
+    return "PARTIALLY_FOUND" if score >= PARTIAL_MIN else "NOT_FOUND"
+
+
 def completeness_bonus() -> Column:
     # ninths never end in a half, so the direction of rounding doesn't matter
     return F.round(_count(OPTIONAL_FIELDS) * BONUS_MAX / len(OPTIONAL_FIELDS)).cast("int")
@@ -144,7 +156,11 @@ def score_record(spark, record: dict, settings: Settings | None = None) -> tuple
 
 
 def score_summary(df: DataFrame) -> DataFrame:
-    """status, n, share of all rows."""
-    n = df.groupBy(F.coalesce("status", F.lit("NOT_FOUND")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    """status, n, share of all rows, average_score."""
+    # decimals add up to the same in any order of rows
+    score = F.avg(F.col("confidence_score").try_cast("decimal(30,10)"))
+    n = df.groupBy(F.coalesce("status", F.lit("NOT_FOUND")).alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(score, 2).cast("double").alias("average_score")
+    )
     total = n.agg(F.sum("n").alias("total"))  # one row
-    return n.join(F.broadcast(total)).select("status", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"))
+    return n.join(F.broadcast(total)).select("status", "n", F.round(F.col("n") / F.col("total"), 6).alias("share"), "average_score")

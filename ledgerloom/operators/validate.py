@@ -7,9 +7,8 @@ Duplicates are found on the values before they are set to NULL. NULL websites an
 from __future__ import annotations
 
 import json
-from pathlib import Path
+import logging
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +16,13 @@ from ledgerloom.functions import text as X
 from ledgerloom.functions.nulls import clean_str, present
 from ledgerloom.functions.similarity import partial_ratio_udf, similar_pairs, sorted_words
 from ledgerloom.operators.clean import ORD, with_order
-from ledgerloom.operators.graph import connected_components
 from ledgerloom.operators.score import SHORT_DESCRIPTION, domain_root, name_word
-from ledgerloom.runtime import cut
+from ledgerloom.runtime import cut, discard, write_text
 from ledgerloom.schema import COMPLETENESS_FIELDS, CRITICAL_FIELDS, STATUSES, Settings
 
+log = logging.getLogger(__name__)
 URL_FIELDS = ("linkedin", "facebook", "twitter", "instagram")
+CHECKED = ("email", "phone", *URL_FIELDS, "ceo", "founder", "size")  # set to NULL where invalid
 NAME_MATCH_MIN = 60
 
 
@@ -48,8 +48,8 @@ def duplicate_domains(df: DataFrame) -> DataFrame:
 def duplicate_names(df: DataFrame, threshold: float = 92) -> DataFrame:
     """row, leader: greedy duplicates in row order. A row not yet flagged leads; later unflagged rows like it are flagged.
 
-    Equal names follow their first row, so the greedy order only has to be settled among distinct names, within one
-    component of similar names at a time; a component is the names that differ by a letter or two, never a value's rows.
+    Equal names follow their first row, so the greedy order only has to be settled among distinct names. That is done in
+    rounds over all of them: names without an earlier open neighbour lead, their later neighbours follow, and both leave.
     """
     key = sorted_words(clean_str(F.col("name")))
     rows = df.select(F.col(ORD).alias("i"), key.alias("key")).filter(F.length("key") >= 3)
@@ -60,20 +60,7 @@ def duplicate_names(df: DataFrame, threshold: float = 92) -> DataFrame:
     edges = cut(
         pairs.join(a, "left").join(b, "right").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    comp = connected_components(edges).select(F.col("node").alias("a"), "component")
-
-    def greedy(g: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, list[int]] = {}
-        for x, y in zip(g["a"], g["b"]):
-            near.setdefault(x, []).append(y)
-        leader: dict[int, int] = {}
-        for x in sorted(near):
-            if x not in leader:
-                for y in near[x]:
-                    leader.setdefault(y, x)
-        return pd.DataFrame({"first": list(leader), "leader": list(leader.values())}, dtype="int64")
-
-    led = edges.join(comp, "a").groupBy("component").applyInPandas(greedy, "first bigint, leader bigint")
+    led = first_leaders(edges).withColumnsRenamed({"node": "first"})
     named = names.join(led, "first", "left")
     return (
         rows.join(named, "key")
@@ -82,6 +69,24 @@ def duplicate_names(df: DataFrame, threshold: float = 92) -> DataFrame:
     )
 
 
+def first_leaders(edges: DataFrame) -> DataFrame:
+    """node, leader of all nodes that follow. edges: a < b. In the order of nodes each one that doesn't follow yet leads, and
+    its later neighbours that don't follow yet follow it. Every round settles at least the first open node of a component.
+    """
+    out = edges.select(F.col("b").alias("node"), F.col("a").alias("leader")).limit(0)
+    while not edges.isEmpty():
+        leads = edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_anti").distinct()
+        new = cut(edges.join(leads, "a").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader")))
+        out = out.unionByName(new)
+        gone = new.select("node").unionByName(leads.select(F.col("a").alias("node")))
+        rest = edges
+        for end in ("a", "b"):
+            rest = rest.join(gone.select(F.col("node").alias(end)), end, "left_anti")
+        before, edges = edges, cut(rest)
+        discard(before)
+    return out
+
+
 def validate(df: DataFrame, settings: Settings | None = None) -> DataFrame:
     """df with invalid fields as NULL, `_issues` and `_warnings` (arrays of codes in rule order)."""
     s = settings or Settings()
@@ -177,14 +182,28 @@ def report(df: DataFrame, settings: Settings | None = None) -> tuple[DataFrame,
     return validated, one.withColumn("duplicates_removed", F.col("duplicate_domains") + F.col("duplicate_names"))
 
 
-def save_report(one: DataFrame, rows: DataFrame, path: str) -> Path:
-    """The report as JSON: counters on the driver (one row), rows with findings written line by line beside it."""
-    out = Path(path)
-    out.parent.mkdir(parents=True, exist_ok=True)
+def save_report(one: DataFrame, rows: DataFrame, path: str) -> str:
+    """The report as JSON: counters from the driver (one row), rows with findings written line by line beside it."""
     data = one.withColumn("generated_at", X.now_iso()).first().asDict(recursive=True)
-    out.write_text(json.dumps(data, indent=2, ensure_ascii=False), encoding="utf-8")
-    rows.write.mode("overwrite").json(f"{out}.records")
-    return out
+    write_text(one.sparkSession, path, json.dumps(data, indent=2, ensure_ascii=False))
+    rows.write.mode("overwrite").json(f"{path}.records")
+    return path
+
+
+def log_summary(one: DataFrame) -> None:
+    """The report's counters as log lines, in groups: totals, states, duplicates, scores, completeness."""
+    r = one.first().asDict(recursive=True)
+    groups = (
+        ("total", "valid", "invalid", "warnings"),
+        tuple(f"status_{s.lower()}" for s in STATUSES),
+        ("duplicate_domains", "duplicate_names", "duplicates_removed"),
+        ("average_score", "min_score", "max_score"),
+        tuple(f"filled_{c}" for c in COMPLETENESS_FIELDS),
+    )
+    for names in groups:
+        for name in names:
+            log.info("%s: %s", name.replace("_", " "), r.get(name))
+        log.info("-" * 40)
 
 
 def top_issues(validated: DataFrame, most: int = 10) -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as X
-from ledgerloom.functions.nulls import NA_WORDS, clean_str, safe_str
+from ledgerloom.functions.nulls import NA_WORDS, SPACES, clean_str, safe_str
 from ledgerloom.functions.similarity import similar_pairs, sorted_words
 from ledgerloom.operators import clean, enrich, score, validate
 from ledgerloom.operators.clean import ORD
-from ledgerloom.runtime import table
-from ledgerloom.schema import STANDARD_COLUMNS, Settings
+from ledgerloom.runtime import cut, table
+from ledgerloom.schema import COMPLETENESS_FIELDS, STANDARD_COLUMNS, STATUSES, Settings
 from ledgerloom.sources.export import column_profile
 from ledgerloom.sources.html import extract_pages
 
@@ -100,7 +100,7 @@ def _name(x: str) -> str:
     return f"array_to_string(list_transform(string_split({t}, ' '), lambda v: {_title('v')}), ' ')"
 
 
-def _domain(x: str) -> str:
+def domain_sql(x: str) -> str:
     host = rf"regexp_replace(regexp_replace(trim({x}), '(?i)^(?:https?://)?(?:www\d?\.)?', ''), '[/?#].*$', '')"
     start = r"'(?i)^(?:https?://)?(?:www\.)?[a-z0-9\-]+(?:\.[a-z0-9\-]+)+'"
     bad = rf"regexp_matches(trim({x}), {_EMAIL}) OR NOT regexp_matches(trim({x}), {start})"
@@ -133,7 +133,7 @@ def _phone(x: str) -> str:
 
 _NORM = {
     "name": _name,
-    "website": _domain,
+    "website": domain_sql,
     "linkedin": _linkedin,
     "email": _mail,
     "phone": _phone,
@@ -150,6 +150,44 @@ _ID = "||'-'||".join(f"substr({_ID_KEY}, {a}, {n})" for a, n in ((1, 8), (9, 4),
 # company_id is always there, company_name and last_updated never
 _FILLED = " + ".join(f"({c} IS NOT NULL)::int" for c in FIELDS) + " + 1"
 
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence: each letter of a turns a row of the table into the next."""
+    return (
+        f"list_reduce(string_split({a}, ''), lambda line, ch: list_reduce(range(1, length({b}) + 1), lambda acc, j: list_append(acc,"
+        f" greatest(line[j + 1], acc[-1], line[j] + (substr({b}, j, 1) = ch)::int)), [0::int]),"
+        f" list_transform(range(0, length({b}) + 1), lambda z: 0::int))[-1]"
+    )
+
+
+def _partial(a: str, b: str) -> str:
+    """Best score of a against the windows of its length in b, the longer text, and shorter ends of b."""
+    windows = (
+        f"list_concat(list_transform(range(1, length({b}) - length({a}) + 2), lambda i: substr({b}, i, length({a}))),"
+        f" list_transform(range(1, length({a})), lambda i: substr({b}, 1, i)), list_transform(range(1, length({a})), lambda i: right({b}, i)))"
+    )
+    return f"list_max(list_transform({windows}, lambda v: 200.0 * {_lcs(a, 'v')} / (length({a}) + length(v))))"
+
+
+# columns of a cleaned record that the view leaves out
+_MORE = f"(SELECT rid, {_ID} AS company_id, NULL::varchar AS company_name, NULL::varchar AS last_updated FROM ({_RAW}) r)"
+
+
+def _merged_sql(by: str, rows: str) -> str:
+    """One row per group: of every column the first value in order of score, filled columns and arrival."""
+    order = f"row(coalesce(try_cast(confidence_score AS double), -1e300), {_FILLED}, -rid)"
+    columns = [c for c in STANDARD_COLUMNS if c != "confidence_score"]
+    kept = ", ".join(f"arg_max({c}, {order}) FILTER ({c} IS NOT NULL) AS {c}" for c in columns)
+    score_sql = (
+        "CASE WHEN count(*) = 1 THEN max(confidence_score) ELSE coalesce(cast(cast(trunc(max(try_cast(confidence_score AS double))) AS int)"
+        f" AS varchar), arg_max(confidence_score, {order}) FILTER (confidence_score IS NOT NULL)) END AS confidence_score"
+    )
+    return f"SELECT min(rid) AS {ORD}, {kept}, {score_sql} FROM {rows} GROUP BY {by}"
+
+
+# rows that exact deduplication keeps
+_KEPT = f"""(SELECT * EXCLUDE n FROM (SELECT *, row_number() OVER (PARTITION BY name, website, linkedin ORDER BY {_FILLED} DESC, rid) AS n
+    FROM {_CLEAN} c) x WHERE n = 1)"""
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -179,7 +217,7 @@ def norm_name(spark, d):
     return raw(spark, d).select("rid", X.norm_name(F.col("name")).alias("name"))
 
 
-@query(f"SELECT rid, {_domain('website')} AS website FROM ({_RAW}) r")
+@query(f"SELECT rid, {domain_sql('website')} AS website FROM ({_RAW}) r")
 def norm_domain(spark, d):
     return raw(spark, d).select("rid", X.norm_domain(F.col("website")).alias("website"))
 
@@ -243,6 +281,12 @@ def exact_dedup(spark, d):
     return clean.drop_exact_duplicates(cleaned(spark, d)).select(F.col(ORD).alias("rid"))
 
 
+@query(f"SELECT rid, {_FILLED} AS n_filled FROM {_KEPT} k ORDER BY n_filled DESC, rid")
+def output_order(spark, d):
+    x = clean.in_output_order(clean.drop_exact_duplicates(cleaned(spark, d)))
+    return x.select(F.col(ORD).alias("rid"), F.col("_filled").alias("n_filled"))
+
+
 @query(
     f"SELECT rid, min(rid) OVER (PARTITION BY website) AS first_rid FROM {_CLEAN} c WHERE website IS NOT NULL"
 )
@@ -252,42 +296,46 @@ def domain_clusters(spark, d):
     return x.join(first, "website").select("rid", "first_rid")
 
 
-def _merged_sql() -> str:
-    order = f"row(coalesce(try_cast(confidence_score AS double), -1e300), {_FILLED}, -rid)"
-    kept = ", ".join(
-        f"arg_max({c}, {order}) FILTER ({c} IS NOT NULL) AS {c}" for c in ("name", "linkedin", "email", "phone", "industry")
-    )
-    best = "max(try_cast(confidence_score AS double))"
-    score_sql = (
-        f"CASE WHEN count(*) = 1 THEN max(confidence_score) ELSE coalesce(cast(cast(trunc({best}) AS int) AS varchar),"
-        f" arg_max(confidence_score, {order}) FILTER (confidence_score IS NOT NULL)) END AS confidence_score"
-    )
-    return f"SELECT website, count(*) AS n, {kept}, {score_sql} FROM {_CLEAN} c WHERE website IS NOT NULL GROUP BY website"
+@query(
+    _merged_sql("website", f"(SELECT * FROM {_CLEAN} c JOIN {_MORE} i USING (rid) WHERE website IS NOT NULL) x").replace(f"min(rid) AS {ORD}, ", "")
+)
+def survivorship(spark, d):
+    x = cut(cleaned(spark, d).filter("website IS NOT NULL"))
+    first = x.groupBy("website").agg(F.min(ORD).alias("cluster"))
+    return clean.merge_clusters(x.join(first, "website")).drop(ORD)
 
 
-@query(_merged_sql())
-def survivorship(spark, d):
-    x = cleaned(spark, d).filter("website IS NOT NULL")
-    first = x.groupBy("website").agg(F.min(ORD).alias("cluster"), F.count(F.lit(1)).alias("n"))
-    merged = clean.merge_clusters(x.join(first.select("website", "cluster"), "website"))
-    return merged.join(first.select("website", "n"), "website").select(
-        "website", "n", "name", "linkedin", "email", "phone", "industry", "confidence_score"
-    )
+_KEY = "array_to_string(list_sort(list_filter(string_split(name, ' '), lambda w: w <> '')), ' ')"
+def _similar_sql(rows: str, threshold: float, least: int = 1) -> str:
+    """names: k, first; pairs: a, b, score of similar names. Edits are no more than letters that aren't common."""
+    room = f"{1 - threshold / 100} * (length(x.k) + length(y.k)) + 1e-9"
+    return f"""names AS (SELECT {_KEY} AS k, min(rid) AS first FROM {rows} c WHERE name IS NOT NULL GROUP BY ALL HAVING length(k) >= {least}),
+    pairs AS (SELECT * FROM (SELECT a, b, fa, fb, 200.0 * {_lcs('a', 'b')} / (length(a) + length(b)) AS score FROM
+      (SELECT x.k AS a, y.k AS b, x.first AS fa, y.first AS fb FROM names x JOIN names y ON x.k < y.k
+        AND abs(length(x.k) - length(y.k)) <= {room} AND levenshtein(x.k, y.k) <= {room}) p) z WHERE score >= {threshold} - 1e-9)"""
 
 
-@query()
+@query(f'WITH {_similar_sql(_CLEAN, 90)} SELECT a AS "left", b AS "right", round(score, 4) AS score FROM pairs')
 def similar_names(spark, d):
-    names = cleaned(spark, d).select(sorted_words(F.col("name")).alias("key"))
+    names = cut(cleaned(spark, d).select(sorted_words(F.col("name")).alias("key")))
     return similar_pairs(names, 90).withColumn("score", F.round("score", 4))
 
 
-@query()
+_CLUSTERS = f"""kept AS MATERIALIZED {_KEPT}, {_similar_sql("kept", 90)},
+    edges AS (SELECT fa AS i, fb AS j FROM pairs UNION SELECT rid, first FROM kept JOIN names ON {_KEY} = k
+      UNION SELECT rid, min(rid) OVER (PARTITION BY website) FROM kept WHERE website IS NOT NULL),
+    links AS MATERIALIZED (SELECT i, j FROM edges UNION SELECT j, i FROM edges),
+    reach AS (SELECT rid AS i, rid AS top FROM kept UNION SELECT l.j, r.top FROM reach r JOIN links l ON l.i = r.i),
+    clusters AS (SELECT i AS rid, min(top) AS cluster FROM reach GROUP BY i)"""
+
+
+@query(f"WITH RECURSIVE {_CLUSTERS} SELECT rid, cluster FROM clusters")
 def entity_clusters(spark, d):
-    x = clean.drop_exact_duplicates(cleaned(spark, d))
+    x = cut(clean.drop_exact_duplicates(cleaned(spark, d)))
     return clean.cluster(x).select(F.col(ORD).alias("rid"), "cluster")
 
 
-@query()
+@query(f"WITH RECURSIVE {_CLUSTERS} " + _merged_sql("cluster", f"kept JOIN clusters USING (rid) JOIN {_MORE} i USING (rid)"))
 def clean_records(spark, d):
     return clean.clean(records(spark, d))
 
@@ -334,7 +382,7 @@ def score_records(spark, d):
 
 
 @query(
-    "SELECT st AS status, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share"
+    "SELECT st AS status, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share, round(avg(score), 2) AS average_score"
     f" FROM {_SCORED} GROUP BY st"
 )
 def status_breakdown(spark, d):
@@ -347,7 +395,10 @@ _URLS = " , ".join(
     for c in validate.URL_FIELDS
 )
 _FOUNDER_BAD = f"len(list_filter(string_split(founder, ','), lambda v: trim(v) <> '' AND NOT {_PERSON.format('trim(v)')})) > 0"
-# Names and websites here contain each other or differ by one letter, but for the foreign website of every 41st record.
+# the name's first word and the host's first label, the shorter one first
+_MATCHED = f"""(SELECT * EXCLUDE (short, long), w IS NULL OR r IS NULL OR length(w) < 4 OR length(r) < 3 OR contains(long, short)
+    OR {_partial('short', 'long')} >= {validate.NAME_MATCH_MIN} AS fits FROM (SELECT *, CASE WHEN length(w) <= length(r) THEN w ELSE r END AS short,
+    CASE WHEN length(w) <= length(r) THEN r ELSE w END AS long FROM (SELECT *, {_WORD} AS w, {_ROOT} AS r FROM {_CLEAN} c) c1) c2)"""
 _VALID = f"""(SELECT *, list_filter([CASE WHEN name IS NULL THEN 'MISSING_NAME' END, CASE WHEN website IS NULL THEN 'MISSING_WEBSITE' END,
       CASE WHEN description IS NULL THEN 'MISSING_DESCRIPTION' END, CASE WHEN industry IS NULL THEN 'MISSING_INDUSTRY' END],
       lambda f: f IS NOT NULL) AS issues,
@@ -356,26 +407,40 @@ _VALID = f"""(SELECT *, list_filter([CASE WHEN name IS NULL THEN 'MISSING_NAME'
       CASE WHEN length(regexp_replace(phone, '\\D', '', 'g')) NOT BETWEEN 7 AND 15 THEN 'INVALID_PHONE' END, {_URLS},
       CASE WHEN NOT {_PERSON.format('ceo')} THEN 'INVALID_CEO' END,
       CASE WHEN {_FOUNDER_BAD} THEN 'INVALID_FOUNDER' END,
-      CASE WHEN website = 'zzzzz.org' AND name IS NOT NULL THEN 'NAME_DOMAIN_MISMATCH' END,
+      CASE WHEN NOT fits THEN 'NAME_DOMAIN_MISMATCH' END,
       CASE WHEN coalesce(cast(trunc(try_cast(confidence_score AS double)) AS int), 0) < 30 THEN 'LOW_CONFIDENCE_SCORE' END,
       CASE WHEN status = 'NOT_FOUND' THEN 'STATUS_NOT_FOUND' WHEN status = 'NEEDS_REVIEW' THEN 'STATUS_NEEDS_REVIEW' END,
       CASE WHEN website IS NOT NULL AND count(*) OVER (PARTITION BY website) > 1 THEN 'DUPLICATE_DOMAIN' END],
-      lambda f: f IS NOT NULL) AS warnings FROM {_CLEAN} c) v"""
+      lambda f: f IS NOT NULL) AS warnings FROM {_MATCHED} c) v"""
+
+
+# fields as validation leaves them: what is invalid is NULL
+_URL_BAD = r"NOT regexp_matches({0}, '^https?://[a-zA-Z0-9\-._~:/?#\[\]@!$&''()*+,;=%]+$')"
+_INVALID = {
+    "email": f"NOT regexp_matches(email, {_EMAIL})",
+    "phone": r"length(regexp_replace(phone, '\D', '', 'g')) NOT BETWEEN 7 AND 15",
+    **{c: _URL_BAD.format(c) for c in validate.URL_FIELDS},
+    "ceo": f"NOT {_PERSON.format('ceo')}",
+    "founder": _FOUNDER_BAD,
+    "size": f"size NOT IN ({', '.join(f"'{b}'" for b in X.SIZE_BANDS)})",
+}
+_NULLED = ", ".join(f"CASE WHEN NOT coalesce({bad}, false) THEN {c} END AS {c}" for c, bad in _INVALID.items())
+_VALIDATED = f"(SELECT * EXCLUDE ({', '.join(_INVALID)}), {_NULLED} FROM {_VALID})"
 
 
 def _validated(spark, d):
-    return validate.validate(cleaned(spark, d))
+    # as after a step of the pipeline: cleaning and validating in one stage is more code than the JVM takes at once
+    return validate.validate(cut(cleaned(spark, d)))
 
 
 @query(
-    f"""SELECT rid, array_to_string(issues, ', ') AS issues, array_to_string(warnings, ', ') AS warnings,
-    CASE WHEN NOT contains(array_to_string(warnings, ','), 'INVALID_CEO') THEN ceo END AS ceo,
-    CASE WHEN size IN ({', '.join(f"'{b}'" for b in X.SIZE_BANDS)}) THEN size END AS size FROM {_VALID}"""
+    f"""SELECT rid, array_to_string(issues, ', ') AS issues, array_to_string(warnings, ', ') AS warnings, {', '.join(_INVALID)}
+    FROM {_VALIDATED} w"""
 )
 def validate_rows(spark, d):
     join = lambda c: F.array_join(c, ", ")
     return _validated(spark, d).select(
-        F.col(ORD).alias("rid"), join("_issues").alias("issues"), join("_warnings").alias("warnings"), "ceo", "size"
+        F.col(ORD).alias("rid"), join("_issues").alias("issues"), join("_warnings").alias("warnings"), *validate.CHECKED
     )
 
 
@@ -392,25 +457,29 @@ def top_issues(spark, d):
     return validate.top_issues(_validated(spark, d))
 
 
-@query(
-    "SELECT count(*) AS total, count_if(len(issues) = 0) AS valid, cast(sum(len(warnings)) AS bigint) AS warnings,"
-    " count_if(coalesce(status, 'NOT_FOUND') = 'NOT_FOUND') AS status_not_found, count_if(website IS NOT NULL) AS filled_website,"
-    " round(avg(try_cast(confidence_score AS double)), 2) AS average_score,"
-    f" cast(max(try_cast(confidence_score AS double)) AS int) AS max_score FROM {_VALID}"
+_STATE = "coalesce(status, 'NOT_FOUND')"
+_POINTS = "try_cast(confidence_score AS double)"
+_COUNTERS = ", ".join(
+    [
+        "count(*) AS total, count(*) FILTER (len(issues) = 0) AS valid, count(*) FILTER (len(issues) > 0) AS invalid, cast(sum(len(warnings)) AS bigint) AS warnings",
+        *[f"count(*) FILTER ({_STATE} = '{x}') AS status_{x.lower()}" for x in STATUSES],
+        *[f"count({c}) AS filled_{c}" for c in COMPLETENESS_FIELDS],
+        "count(*) FILTER (ceo IS NULL) AS missing_ceo, count(*) FILTER (founder IS NULL) AS missing_founder",
+        f"round(avg({_POINTS}), 2) AS average_score, cast(min({_POINTS}) AS int) AS min_score, cast(max({_POINTS}) AS int) AS max_score",
+    ]
 )
+@query(f"SELECT {_COUNTERS} FROM {_VALIDATED} w")
 def report_counts(spark, d):
-    return validate.counters(_validated(spark, d)).select(
-        "total", "valid", "warnings", "status_not_found", "filled_website", "average_score", "max_score"
-    )
+    return validate.counters(_validated(spark, d))
 
 
 @query(
-    f"SELECT rid, len(issues) = 0 AS is_valid, len(issues) + len(warnings) AS n FROM {_VALID}"
-    " WHERE len(issues) + len(warnings) > 0"
+    f"SELECT rid, name, len(issues) = 0 AS is_valid, array_to_string(issues, ', ') AS errors, array_to_string(warnings, ', ') AS warnings"
+    f" FROM {_VALID} WHERE len(issues) + len(warnings) > 0"
 )
 def findings(spark, d):
     return validate.findings(_validated(spark, d)).select(
-        F.col(ORD).alias("rid"), "is_valid", (F.size("errors") + F.size("warnings")).cast("bigint").alias("n")
+        F.col(ORD).alias("rid"), "name", "is_valid", F.array_join("errors", ", ").alias("errors"), F.array_join("warnings", ", ").alias("warnings")
     )
 
 
@@ -419,15 +488,39 @@ def dup_domains(spark, d):
     return validate.duplicate_domains(cleaned(spark, d))
 
 
-@query()
+def _leaders_sql(rows: str) -> str:
+    return f"""WITH {_similar_sql(rows, 92, 3)}, edges AS (SELECT least(fa, fb) AS a, greatest(fa, fb) AS b FROM pairs),
+    nodes AS (SELECT id, list_filter(list(a), lambda x: x IS NOT NULL) AS ns FROM (SELECT b AS id, a FROM edges UNION SELECT a, NULL FROM edges) u GROUP BY id),
+    heads AS (SELECT list_reduce(list({{'id': id, 'ns': ns}} ORDER BY id), lambda acc, x: CASE WHEN list_has_any(acc, x.ns) THEN acc
+      ELSE list_append(acc, x.id) END, []::bigint[]) AS leaders FROM nodes),
+    led AS (SELECT id, list_min(list_intersect(ns, leaders)) AS leader FROM nodes, heads WHERE NOT list_contains(leaders, id))
+    SELECT rid AS "row", coalesce(leader, first) AS leader FROM (SELECT rid, {_KEY} AS k FROM {rows} c WHERE name IS NOT NULL) r
+    JOIN names USING (k) LEFT JOIN led ON led.id = first WHERE rid <> coalesce(leader, first)"""
+
+
+@query(_leaders_sql(_CLEAN))
 def dup_names(spark, d):
-    return validate.duplicate_names(cleaned(spark, d))
+    return validate.duplicate_names(cut(cleaned(spark, d)))
 
 
-@query()
+_MERGED = f"SELECT {ORD} AS rid, * EXCLUDE ({ORD}) FROM ({_merged_sql('cluster', f'kept JOIN clusters USING (rid) JOIN {_MORE} i USING (rid)')}) m"
+_REPORTED = _VALIDATED.replace(_CLEAN, "graded")
+
+
+@query(
+    f"""WITH RECURSIVE {_CLUSTERS}, merged AS MATERIALIZED ({_MERGED}), graded AS MATERIALIZED (SELECT * EXCLUDE (confidence_score, status, label, crit, s, raw,
+      flags, score, st), score::varchar AS confidence_score, st AS status FROM {_SCORED.replace(f"FROM {_CLEAN} c", "FROM merged c")}),
+    dups AS (SELECT (SELECT count(*) FROM (SELECT website FROM graded WHERE website IS NOT NULL GROUP BY website HAVING count(*) > 1)) AS duplicate_domains,
+      (SELECT count(*) FROM ({_leaders_sql("graded")}) l) AS duplicate_names),
+    codes AS (SELECT string_agg(code || '=' || n, ' ' ORDER BY code) AS issue_counts FROM (SELECT code, count(*) AS n FROM (SELECT
+      unnest(list_concat(issues, warnings)) AS code FROM {_REPORTED} v) x GROUP BY code) y)
+    SELECT *, duplicate_domains + duplicate_names AS duplicates_removed FROM (SELECT {_COUNTERS} FROM {_REPORTED} w) c, dups, codes"""
+)
 def pipeline_report(spark, d):
-    x = clean.clean(records(spark, d))
-    return validate.report(score.score_dataframe(x))[1].drop("issue_counts")
+    x = cut(score.score_dataframe(clean.clean(records(spark, d))))
+    one = validate.report(x)[1]
+    codes = F.array_join(F.transform(F.map_entries("issue_counts"), lambda e: F.concat_ws("=", e["key"], e["value"])), " ")
+    return one.withColumn("issue_counts", codes)
 
 
 # ---- pages, answers, enrichment ----
@@ -438,7 +531,9 @@ SELECT k AS page_id, 'https://site' || k || '.com' AS url, 'info' || k || '@site
   || '<style>p.red</style></head><body><nav>Home nav@site.com</nav><p>Write to info' || k || '@site.com &amp; call</p>'
   || '<p>+1 555 123 4567</p><script>var x = "a@b.com";</script>'
   || CASE WHEN k % 2 = 0 THEN '<footer><a href="https://www.linkedin.com/company/site' || k || '">in</a>'
-     || '<a href="https://facebook.com/sharer/x">s</a><a href="https://facebook.com/site' || k || '?lang=en">f</a></footer>' ELSE '' END
+     || '<a href="https://facebook.com/sharer/x">s</a><a href="https://facebook.com/site' || k || '?lang=en">f</a>'
+     || '<a href="https://x.com/intent/t">t</a><a href="https://www.twitter.com/site' || k || '">t</a>'
+     || '<a href="https://instagram.com/site' || k || '/">i</a></footer>' ELSE '' END
   || '</body></html>' AS html
 FROM (SELECT cast(c_custkey AS bigint) AS k FROM {customer}) t
 """
@@ -457,7 +552,9 @@ _VISIBLE = "'Write to info' || page_id || '@site.com & call +1 555 123 4567'"
     f" {_VISIBLE} AS visible_text, CASE WHEN page_id % 4 = 0 THEN 'Shared ' || page_id WHEN page_id % 3 = 0 THEN 'About ' || page_id"
     " ELSE 'Page ' || page_id END AS best_description, 'info' || page_id || '@site.com' AS emails, '+1 555 123 4567' AS phones,"
     " CASE WHEN page_id % 2 = 0 THEN 'https://www.linkedin.com/company/site' || page_id ELSE '' END AS linkedin,"
-    " CASE WHEN page_id % 2 = 0 THEN 'https://facebook.com/site' || page_id || '?lang=en' ELSE '' END AS facebook"
+    " CASE WHEN page_id % 2 = 0 THEN 'https://facebook.com/site' || page_id || '?lang=en' ELSE '' END AS facebook,"
+    " CASE WHEN page_id % 2 = 0 THEN 'https://www.twitter.com/site' || page_id ELSE '' END AS twitter,"
+    " CASE WHEN page_id % 2 = 0 THEN 'https://instagram.com/site' || page_id || '/' ELSE '' END AS instagram"
     f" FROM ({HTML.replace('{customer}', 'customer')}) p"
 )
 def page_facts(spark, d):
@@ -465,7 +562,7 @@ def page_facts(spark, d):
     return x.select(
         "page_id", "title", "meta_description", "og_description", "visible_text", "best_description",
         F.array_join("emails_found", "|").alias("emails"), F.array_join("phones_found", "|").alias("phones"),
-        F.col("linkedin_found").alias("linkedin"), F.col("facebook_found").alias("facebook"),
+        *[F.col(f"{n}_found").alias(n) for n in ("linkedin", "facebook", "twitter", "instagram")],
     )
 
 
@@ -546,12 +643,27 @@ def enrich_fields(spark, d):
     )
 
 
-@query()
+_FACTS = f"""(SELECT * EXCLUDE (description, email, source_used), coalesce(description, 'About https://' || website) AS description,
+    coalesce(email, CASE WHEN website IS NOT NULL THEN 'mail@site.com' END) AS email, CASE WHEN source_used IS NULL THEN tag
+    WHEN contains(source_used, tag) THEN source_used ELSE source_used || ',' || tag END AS source_used FROM (SELECT *,
+    CASE WHEN website IS NOT NULL THEN 'official_website,web_scrape' WHEN linkedin IS NOT NULL THEN 'linkedin' ELSE 'not_found' END AS tag
+    FROM {_CLEAN} c WHERE coalesce(status, '') <> 'FOUND') t)"""
+_WORKED = _SCORED.replace(f"FROM {_CLEAN} c", f"FROM {_FACTS} c")
+_SAME = ", ".join(c for c in FIELDS if c not in ("confidence_score", "status"))
+
+
+@query(
+    f"""SELECT rid AS {ORD}, company_id, company_name, {_SAME}, confidence_score, status, review, false AS _skipped FROM (SELECT {_SAME}, rid,
+    score::varchar AS confidence_score, st AS status, array_to_string(flags, ', ') AS review FROM {_WORKED}) w JOIN {_MORE} i USING (rid)
+    UNION ALL SELECT rid, company_id, company_name, {_SAME}, confidence_score, status, NULL, true FROM {_CLEAN} c JOIN {_MORE} i USING (rid)
+    WHERE status = 'FOUND'"""
+)
 def enrich_records(spark, d):
-    x = cleaned(spark, d)
+    x = cut(cleaned(spark, d))
     known = x.filter("website IS NOT NULL").select(F.concat(F.lit("https://"), "website").alias("url")).distinct()
     html = F.concat(F.lit("<title>About "), "url", F.lit("</title><p>mail@site.com</p>"))
-    return enrich.enrich(x, extract_pages(known.withColumn("html", html))).drop("last_updated")
+    out = enrich.enrich(x, extract_pages(known.withColumn("html", html))).drop("last_updated", enrich.FAILED)
+    return out.withColumnRenamed("_review_flags", "review")
 
 
 @query(
@@ -580,7 +692,14 @@ def doc_emails(spark, d):
     return table(spark, d, "documents").select("doc_id", e.alias("emails"))
 
 
-@query()
+_DIGITS = r"length(regexp_replace(x, '\D', '', 'g'))"
+
+
+@query(
+    rf"""SELECT doc_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i)[1:5], '|') AS phones FROM (SELECT doc_id,
+    list_filter(list_transform(regexp_extract_all(text, '\+?\d[\d\s\-().]{{7,}}\d'), lambda x: trim(x)), lambda x: {_DIGITS} BETWEEN 7 AND 15) AS l
+    FROM documents) p"""
+)
 def doc_phones(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(X.find_phones(F.col("text")), "|").alias("phones"))
 
@@ -590,7 +709,13 @@ def text_limit(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(F.substring("text", 1, 8000)).alias("text"))
 
 
-@query()
+_WORDS = "list_filter(string_split_regex(text, '[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in SPACES) + "]+'), lambda w: w <> '')"
+
+
+@query(
+    f"SELECT doc_id, md5(CASE WHEN len(w) > 100 THEN array_to_string(w[1:100], ' ') ELSE text END) AS text FROM (SELECT doc_id, text, {_WORDS} AS w"
+    " FROM documents) x"
+)
 def token_budget(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(X.token_budget(F.col("text"), 100)).alias("text"))
 
@@ -612,14 +737,16 @@ def profile_orders(spark, d):
     return column_profile(table(spark, d, "orders").select(*[c for c, _ in _ORDERS]))
 
 
-@query(
-    _profile_sql(
-        "lineitem",
-        [("l_orderkey", "bigint"), ("l_quantity", "double"), ("l_returnflag", "string"), ("l_linestatus", "string")],
-    )
-)
+_LINEITEM = [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"),
+    ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
+    ("l_shipdate", "timestamp_ntz"),
+]
+
+
+@query(_profile_sql("lineitem", _LINEITEM))
 def profile_lineitem(spark, d):
-    return column_profile(table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus"))
+    return column_profile(table(spark, d, "lineitem"))
 
 
 @query(

@@ -44,7 +44,11 @@ def cut(df: DataFrame, *by: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove what `cut` wrote for df; df and all that is built on it can't be read any more."""
-    fs, at = _place(df.sparkSession, df._cut_path)
+    remove(df.sparkSession, df._cut_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _place(spark, path)
     fs.delete(at, True)
 
 
@@ -57,3 +61,41 @@ def _place(spark: SparkSession, path: str):
 def exists(spark: SparkSession, path: str) -> bool:
     fs, at = _place(spark, path)
     return fs.exists(at)
+
+
+def all_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Path and length of every file below a folder."""
+    fs, at = _place(spark, folder)
+    found, out = fs.listFiles(at, True), []
+    while found.hasNext():
+        status = found.next()
+        out.append((status.getPath().toString(), status.getLen()))
+    return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file on any file system Spark knows."""
+    fs, at = _place(spark, path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def join_files(spark: SparkSession, head: bytes, folder: str, path: str) -> None:
+    """One file from a first piece and all parts in a folder, in the order of their names, copied as bytes; the folder goes."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs, parts = _place(spark, folder)
+    to, at = _place(spark, path)
+    out = to.create(at, True)
+    try:
+        out.write(bytearray(head))
+        for status in sorted(fs.listStatus(parts), key=lambda s: s.getPath().getName()):
+            if status.getPath().getName().startswith("part-"):
+                src = fs.open(status.getPath())
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(src, out, conf, False)
+                src.close()
+    finally:
+        out.close()
+    fs.delete(parts, True)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+import os
+from dataclasses import asdict, dataclass, field, fields
 from pathlib import Path
 
 from pyspark.sql.types import StringType, StructField, StructType
@@ -67,6 +68,8 @@ class Settings:
     page_ttl_hours: int = 24
     score_cached: bool = True
     strict_redirect: bool = False
+    single_export: bool = True
+    token_vocabulary: str = ""
     output_dir: str = "output"
 
     def __post_init__(self):
@@ -83,12 +86,21 @@ class Settings:
             "max_text_chars": (500, None),
             "fuzzy_threshold": (1, 100),
             "validation_threshold": (1, 100),
+            "cache_ttl_days": (0, None),
+            "page_ttl_hours": (0, None),
         }
         for name, (low, high) in ranges.items():
             value = getattr(self, name)
             if value < low or (high is not None and value > high):
                 raise ValueError(f"{name}={value} is outside {low} to {high if high is not None else 'any'}")
 
+    @classmethod
+    def from_env(cls, prefix: str = "LEDGERLOOM_") -> Settings:
+        """Settings from environment variables such as LEDGERLOOM_FUZZY_THRESHOLD; the others keep their defaults."""
+        kinds = {"int": int, "float": float, "str": str, "bool": lambda v: v.strip().lower() in ("1", "true", "yes", "on")}
+        given = {f.name: os.environ[prefix + f.name.upper()] for f in fields(cls) if prefix + f.name.upper() in os.environ}
+        return cls(**{f.name: kinds[f.type](given[f.name]) for f in fields(cls) if f.name in given})
+
     @property
     def llm_enabled(self) -> bool:
         return bool(self.llm_api_key.strip())

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.nulls import clean_str
+from ledgerloom.runtime import exists, join_files
 
 BOM = b"\xef\xbb\xbf"
 
@@ -17,27 +15,21 @@ def drop_internal(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 
 
-def export_csv(df: DataFrame, path: str, columns: list[str] | None = None, internal: bool = False, single: bool = True) -> Path:
-    """UTF-8 with byte order mark, quotes where needed, NULL as nothing. Listed columns first, the others after them.
+def export_csv(df: DataFrame, path: str, columns: list[str] | None = None, internal: bool = False, single: bool = False) -> str:
+    """UTF-8, quotes where needed, NULL as nothing. Listed columns first, the others after them.
 
-    `single` gives one file, put together from the parts as bytes; otherwise `path` is a folder of parts, which is what
-    a large table should have.
+    `path` is a folder of parts with a header each, which is what a large table should have. `single` gives one file with a
+    byte order mark, put together from the parts as bytes by the driver, for tables meant to be opened by hand.
     """
     x = df if internal else drop_internal(df)
     if columns:
         x = x.select(*[c for c in columns if c in x.columns], *[c for c in x.columns if c not in columns])
-    out = Path(path)
-    parts = out.with_name(out.name + ".parts") if single else out
-    x.write.mode("overwrite").csv(str(parts), header=not single, emptyValue="", nullValue="", escape='"')
+    parts = f"{path}.parts" if single else path
+    x.write.mode("overwrite").csv(parts, header=not single, emptyValue="", nullValue="", escape='"')
     if single:
-        out.parent.mkdir(parents=True, exist_ok=True)
-        with out.open("wb") as f:
-            f.write(BOM + ",".join(_quoted(c) for c in x.columns).encode() + b"\n")
-            for p in sorted(parts.glob("part-*")):
-                with p.open("rb") as g:
-                    shutil.copyfileobj(g, f)
-        shutil.rmtree(parts)
-    return out
+        head = BOM + ",".join(_quoted(c) for c in x.columns).encode() + b"\n"
+        join_files(df.sparkSession, head, parts, path)
+    return path
 
 
 def _quoted(name: str) -> str:
@@ -48,9 +40,14 @@ def write_checkpoint(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def has_checkpoint(spark: SparkSession, path: str) -> bool:
+    """True where a checkpoint was written to its end."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """A parquet checkpoint, or a delimited one with the NA words as NULL."""
-    if Path(path).suffix == ".csv":
+    if path.endswith(".csv"):
         raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
         clean = {c: F.when(F.col(c) != "<NA>", clean_str(F.col(c))) for c in raw.columns}
         return raw.withColumns(clean).withColumnsRenamed({raw.columns[0]: raw.columns[0].lstrip("﻿")})

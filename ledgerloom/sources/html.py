@@ -83,16 +83,24 @@ def parse_page(html: str | None) -> dict[str, str]:
     }
 
 
+PARTS = ("title", "meta_description", "og_description", "visible_text")
+
+
+def _parse_or_tell(html: str | None) -> dict[str, str]:
+    """A page that can't be parsed gives '' everywhere and the reason; it doesn't end the job."""
+    try:
+        return parse_page(html) | {"parse_error": None}
+    except Exception as e:  # noqa: BLE001 - whatever a broken page makes the parser raise
+        return dict.fromkeys(PARTS, "") | {"parse_error": f"{type(e).__name__}: {e}"}
+
+
 def page_parts(html: Column) -> Column:
-    """Struct of title, meta_description, og_description, visible_text."""
+    """Struct of title, meta_description, og_description, visible_text and parse_error (NULL where all went well)."""
 
     def run(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(
-            [parse_page(p) for p in pages], columns=["title", "meta_description", "og_description", "visible_text"]
-        )
+        return pd.DataFrame([_parse_or_tell(p) for p in pages], columns=[*PARTS, "parse_error"])
 
-    kind = "title string, meta_description string, og_description string, visible_text string"
-    return F.pandas_udf(run, kind)(html)
+    return F.pandas_udf(run, ", ".join(f"{c} string" for c in (*PARTS, "parse_error")))(html)
 
 
 def best_description(p: Column) -> Column:
@@ -113,6 +121,7 @@ def extract_pages(pages: DataFrame, html: str = "html", most_chars: int = 8000)
             "og_description": p["og_description"],
             "visible_text": visible,
             "best_description": best_description(p),
+            "parse_error": p["parse_error"],
             "linkedin_found": X.find_linkedin(raw),
             **{f"{n}_found": X.find_social(raw, n) for n in X.SOCIAL_SITES},
         }

@@ -3,22 +3,24 @@
 import itertools
 import json
 import random
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import similarity, text
 from ledgerloom.functions.similarity import indel_ratio, similar_pairs
 from ledgerloom.operators import clean, enrich, score, validate
 from ledgerloom.operators.clean import ORD
 from ledgerloom.operators.graph import connected_components
 from ledgerloom.plans import company
-from ledgerloom.plans.pipeline import Pipeline, main
+from ledgerloom.plans.pipeline import Pipeline, check_environment, main
 from ledgerloom.schema import SOURCE_FILE, STANDARD_COLUMNS, STANDARD_SCHEMA, Settings
 from ledgerloom.sources import export, html, providers
 from ledgerloom.sources.headers import column_mapping, detect_column, plain
-from ledgerloom.sources.loader import load_all, load_single
+from ledgerloom.sources.loader import list_files, load_all, load_single, probe
 from ledgerloom.streaming import ingest
 
 GOOD = dict(
@@ -81,7 +83,7 @@ def test_pipeline_resumes(spark, folder, tmp_path):
     for step in ("load", "clean", "enrich", "validate"):
         run.run(step)
     out = Pipeline(spark, str(folder), str(tmp_path / "out")).run("export")
-    text = out.read_bytes()
+    text = Path(out).read_bytes()
     assert text.startswith(b"\xef\xbb\xbfcompany_id,name,") and text.decode("utf-8-sig").count("acme.com") == 1
     report = json.loads((tmp_path / "out" / "validation_report.json").read_text())
     assert report["total"] == 6
@@ -117,7 +119,7 @@ def test_clean_empty(spark):
     assert clean.clean(frame(spark).limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("threshold", [85, 90, 92])
+@pytest.mark.parametrize("threshold", [40, 60, 85, 90, 92, 100])
 def test_similar_pairs_lose_nothing(spark, threshold):
     rng = random.Random(threshold)
     base = ["alpha works inc", "beta motors", "gamma glass ltd", "delta", "abc", "ab", "omega wind power holding"]
@@ -135,6 +137,20 @@ def test_similar_pairs_lose_nothing(spark, threshold):
     assert {(r["left"], r["right"]) for r in similar_pairs(df, threshold).collect()} == expected
 
 
+def test_hot_grams_are_split(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "HOT", 3)
+    names = [f"{c}alpha works {d}" for c in "abcdefgh" for d in "xy"] + ["z" * 3000, "z" * 2999 + "y"]
+    expected = {tuple(sorted(p)) for p in itertools.combinations(names, 2) if indel_ratio(*p) >= 90}
+    got = similar_pairs(spark.createDataFrame([(n,) for n in names], "key string"), 90)
+    assert {(r["left"], r["right"]) for r in got.collect()} == expected
+
+
+@pytest.mark.parametrize("threshold", [0, -1, 101])
+def test_thresholds_are_checked(spark, threshold):
+    with pytest.raises(ValueError):
+        similar_pairs(spark.createDataFrame([("a",)], "key string"), threshold)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=40))
 def test_components(spark, edges):
@@ -258,6 +274,90 @@ def test_prompts_hold_page_texts(spark):
     assert text(got["k"]) == "Call  us"
 
 
+def test_a_failed_page_is_told(spark, monkeypatch):
+    def parse(page):
+        if page == "bad":
+            raise RuntimeError("no page")
+        return dict.fromkeys(html.PARTS, "") | {"title": "T"}
+
+    rows = [dict(name="Acme", website="acme.com", status="PARTIALLY_FOUND"), dict(name="Bad", website="bad.com", confidence_score="70", ceo="Al Bo"), dict(GOOD, website="x.com")]
+    # parsing runs in worker processes, so the broken parser is handed over by hand
+    pages = html.extract_pages(spark.createDataFrame([("https://acme.com", "<p>ok"), ("https://bad.com", "<p>ok")], "url string, html string"))
+    pages = pages.withColumn("parse_error", F.when(F.col("url").contains("bad"), "RuntimeError: no page"))
+    out = enrich.enrich(frame(spark, *rows), pages)
+    got = {r["name"]: r for r in out.collect()}
+    bad = got["Bad"]
+    assert (bad["status"], bad["confidence_score"], bad["ceo"], bad["_failure"]) == ("NOT_FOUND", "0", "Al Bo", "RuntimeError: no page")
+    assert got["Acme"]["_failure"] is None and got["Acme"]["confidence_score"] != "0"
+    assert enrich.enrichment_stats(out).first().asDict() == {"processed": 2, "succeeded": 1, "failed": 1, "skipped": 1}
+    monkeypatch.setattr(html, "parse_page", parse)
+    assert html._parse_or_tell("bad")["parse_error"] == "RuntimeError: no page" and html._parse_or_tell("x")["parse_error"] is None
+
+
+def test_known_facts_may_keep_the_old_score(spark):
+    rows = [dict(name="Acme", website="acme.com", confidence_score="12", status="NOT_FOUND"), dict(name="New", website="new.com", confidence_score="12", status="NOT_FOUND")]
+    pages = html.extract_pages(spark.createDataFrame([("https://acme.com", PAGE, True), ("https://new.com", PAGE, False)], "url string, html string, cached boolean"))
+    got = {r["name"]: r for r in enrich.enrich(frame(spark, *rows), pages, settings=Settings(score_cached=False)).collect()}
+    assert (got["Acme"]["confidence_score"], got["Acme"]["status"], got["Acme"]["email"]) == ("12", "NOT_FOUND", "a@b.io")
+    assert got["New"]["confidence_score"] != "12"
+
+
+def test_settings_from_the_environment(monkeypatch):
+    monkeypatch.setenv("LEDGERLOOM_FUZZY_THRESHOLD", "85")
+    monkeypatch.setenv("LEDGERLOOM_SKIP_FOUND", "no")
+    s = Settings.from_env()
+    assert (s.fuzzy_threshold, s.skip_found, s.validation_threshold) == (85, False, 92)
+    monkeypatch.setenv("LEDGERLOOM_FUZZY_THRESHOLD", "0")
+    with pytest.raises(ValueError):
+        Settings.from_env()
+
+
+def test_environment_is_checked(spark, folder, tmp_path):
+    ok = check_environment(spark, str(folder), str(tmp_path / "o"), Settings(llm_api_key="k"))
+    assert ok == {"model_key": True, "input_files": True, "output_writable": True, "python": True}
+    assert not check_environment(spark, str(tmp_path / "none"), "/proc/nowhere", Settings())["input_files"]
+
+
+def test_scores_without_flags():
+    assert [score.score_for_source(x) for x in ("official_website", "weak_signal", "?")] == [95, 30, 0]
+    assert [score.quick_status(s, c) for s, c in ((80, True), (80, False), (60, True), (59, True))] == ["FOUND", "PARTIALLY_FOUND", "PARTIALLY_FOUND", "NOT_FOUND"]
+
+
+def test_links(spark):
+    cases = [
+        ("see https://www.LinkedIn.com/company/acme/about", "linkedin", "https://www.LinkedIn.com/company/acme"),
+        ("http://linkedin.com/in/jo https://linkedin.com/company/ https://uk.linkedin.com/company/x", "linkedin", ""),
+        ("https://t.io/?u=https://linkedin.com/company/a-b'>", "linkedin", "https://linkedin.com/company/a-b"),
+        ('<a href="https://facebook.com/sharer.php"><a href="https://www.facebook.com/acme?x=1">', "facebook", "https://www.facebook.com/acme?x=1"),
+        ("https://facebook.com/ https://facebook.com", "facebook", ""),
+        ("https://x.com/intent/tweet https://twitter.com/share?u https://x.com/acme", "twitter", "https://x.com/acme"),
+        ("https://xx.com/acme", "twitter", ""),
+        ("HTTPS://INSTAGRAM.COM/Acme/", "instagram", "HTTPS://INSTAGRAM.COM/Acme/"),
+        (None, "instagram", None), ("", "instagram", ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "i int, t string")
+    find = lambda p: text.find_linkedin(F.col("t")) if p == "linkedin" else text.find_social(F.col("t"), p)
+    got = df.select("i", *[find(p).alias(p) for p in ("linkedin", "facebook", "twitter", "instagram")]).orderBy("i").collect()
+    assert [got[i][p] for i, (_, p, _) in enumerate(cases)] == [w for _, _, w in cases]
+
+
+def test_large_files_are_split_in_order(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a[1].csv").write_text("name,website\n" + "".join(f"Firm {i},f{i}.io\n" for i in range(30_000)))
+    (tmp_path / "in" / "b.csv").write_text('name,website\n"Two\nlines",x.io\n')
+    (tmp_path / "in" / "c.csv").write_bytes("name,website\nSociété,y.io\n".encode("latin-1"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        df, state = load_all(spark, tmp_path / "in")
+        found = probe(spark, [p for p, _ in list_files(spark, str(tmp_path / "in"))])
+        assert [(f.multi_line, f.encoding) for _, f in sorted(found.items())] == [(False, "UTF-8"), (True, "UTF-8"), (False, "ISO-8859-1")]
+        names = [r["name"] for r in df.orderBy(ORD).select("name").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert names == [*[f"Firm {i}" for i in range(30_000)], "Two\nlines", "Société"] and state.summary()["loaded"] == 3
+
+
 class Site:
     """A fetcher over fixed pages."""
 

@@ -88,3 +88,20 @@ def test_ratios():
     assert indel_ratio("Inc Stripe", "Stripe") == 75.0
     assert best_window_ratio("microsoft", "microsoftazure") == 100.0
     assert best_window_ratio("", "x") == 0.0
+
+
+def test_token_budget_counts_tokens(spark):
+    import os
+
+    from ledgerloom.functions import tokens
+
+    path = os.environ.get("LEDGERLOOM_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+    if not os.path.exists(path):
+        pytest.skip("no vocabulary")
+    texts = ["", "Hello world, it's 12345!", "漢字🙂 " * 50, None, "a b c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", "t", tokens.count_tokens(F.col("t"), path).alias("n"), tokens.token_budget(F.col("t"), 5, path).alias("cut")).orderBy("i").collect()
+    assert [r["n"] for r in got][:2] == [0, 8] and got[3]["n"] is None and got[3]["cut"] is None
+    assert got[4]["cut"] == "a b c" and got[1]["cut"] == "Hello world, it's"
+    again = tokens.encoding(path).encode_ordinary(got[2]["cut"])
+    assert len(again) <= 5 and texts[2].startswith(got[2]["cut"])
