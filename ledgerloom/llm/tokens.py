@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -29,7 +30,8 @@ import ahocorasick
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -67,6 +69,7 @@ class Encoder:
             self.joined[pair] = rank
             self.halves.setdefault(vocab[a + b], (*pair, rank))
         self.shorter: dict[int, int | None] = {}
+        self.whole: dict[int, bool] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.words = _Memo(self.encode_word, self.MEMO)
         self.memo = _Memo(self._piece, self.MEMO)
@@ -170,8 +173,16 @@ class Encoder:
         return tuple(out)
 
     def _whole(self, token: int) -> bool:
-        """An item is its own encoding if it can be undone into halves that are, too, and that merging joins."""
-        return token in self.halves or self.length[token] == 1
+        """Whether merging an item's bytes by rank gives the item itself; worked out once per item."""
+        if token not in self.whole:
+            parts = [self.vocab[ch] for ch in self.item[token]] if all(ch in self.vocab for ch in self.item[token]) else []
+            while len(parts) > 1:
+                rank, k = min((self.joined.get((parts[k], parts[k + 1]), 1 << 30), k) for k in range(len(parts) - 1))
+                if rank == 1 << 30:
+                    break
+                parts[k : k + 2] = [self.vocab[self.item[parts[k]] + self.item[parts[k + 1]]]]
+            self.whole[token] = parts == [token]
+        return self.whole[token]
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -219,12 +230,21 @@ _LOADED: dict[str, Encoder] = {}
 
 
 def encoder(path: str = DEFAULT_VOCABULARY) -> Encoder:
-    """One encoder per Python worker; the path must be readable on every executor."""
+    """One encoder per Python worker. Where the path isn't there, the file that `share` sent is read."""
     if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
+        _LOADED[path] = Encoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
     return _LOADED[path]
 
 
+def share(spark: SparkSession, path: str) -> None:
+    """Send the vocabulary file to all executors, once per session."""
+    context = spark.sparkContext
+    sent = context.__dict__.setdefault("_vocabularies", set())
+    if path not in sent:
+        context.addFile(path)
+        sent.add(path)
+
+
 def encode_documents(
     docs: DataFrame, path: str = DEFAULT_VOCABULARY, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -246,6 +266,7 @@ def encode_documents(
                 )
                 yield pa.RecordBatch.from_arrays([keys[at : at + 512], ids], names=[key, "ids"])
 
+    share(docs.sparkSession, path)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>")
 
@@ -259,4 +280,5 @@ def count_tokens(docs: DataFrame, path: str = DEFAULT_VOCABULARY, text: str = "t
         for s in batches:
             yield pd.Series([None if t is None else enc.count(t) for t in s], dtype="Int32")
 
+    share(docs.sparkSession, path)
     return docs.select(key, sizes(F.col(text)).alias("n_tokens"))

@@ -382,7 +382,9 @@ def test_one_slip(spark):
     assert all(r["slip"] == (r["a"] == r["b"] or slip_brute(r["a"], r["b"])) for r in df.collect())
 
 
-def test_texts_one_slip_apart_share_a_band(spark):
+@pytest.mark.parametrize("pieces", [1, 3, 6])
+def test_texts_one_slip_apart_meet(spark, monkeypatch, pieces):
+    monkeypatch.setattr(incremental, "PIECES", pieces)
     rng = random.Random(4)
     pairs = []
     for _ in range(1500):
@@ -398,9 +400,9 @@ def test_texts_one_slip_apart_share_a_band(spark):
         elif change == "swap" and k + 1 < len(w):
             v[k], v[k + 1] = v[k + 1], v[k]
         pairs.append(("".join(w), "".join(v)))
-    df = spark.createDataFrame(pairs, "name string, other string")
-    kept = lambda field, probe: F.array(*[F.when(ok, band) for ok, band in incremental.bands(field, probe)])
-    assert df.filter(~F.arrays_overlap(kept("name", False), kept("other", True))).count() == 0
+    df = spark.createDataFrame([*pairs, ("q" * 100_000, "q" * 99_999 + "r")], "name string, other string")
+    meet = F.arrays_overlap(incremental.cuts(F.col("name"), False), incremental.cuts(F.col("other"), True))
+    assert df.filter(~meet).count() == 0
 
 
 def ways(a, b):
