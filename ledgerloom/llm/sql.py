@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from ledgerloom.functions.nulls import NA_WORDS, SPACES
-from ledgerloom.llm.survivors import NOTICE_PATTERNS, SOURCE_SCORES
 
 
 def _clean(x: str) -> str:
@@ -19,14 +18,20 @@ _CLASS = (
     " WHEN regexp_matches(s, 'llm|gpt|openai') THEN 'llm' WHEN contains(s, 'scrape') THEN 'scrape' WHEN contains(s, 'weak')"
     " THEN 'weak' ELSE 'none' END"
 )
-_SCORE = f"CASE {_CLASS} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_SCORES.items()) + " END"
-_NOTICE = "(?s)" + "|".join(f"(?:{p})" for p in NOTICE_PATTERNS).replace("'", "''")
+_SCORE = f"CASE {_CLASS} WHEN 'official' THEN 95 WHEN 'linkedin' THEN 80 WHEN 'public' THEN 80 WHEN 'llm' THEN 60 WHEN 'scrape' THEN 60 WHEN 'weak' THEN 30 ELSE 0 END"
+# phrases of notices, of its own and not those of the operator
+_PHRASES = (
+    "is parked", "default web page", "browser is out of date", "reject all", "accept all", "been blocked", "was denied by", "could not be found",
+    "too many requests", "under maintenance", "under construction", "index of /", "confirm your age", "redirecting you", "service temporarily",
+    "not a robot", "loading, please", "session has expired", "enable scripts",
+)
+_NOTICE = " OR ".join(f"contains(lower(description), '{p}')" for p in _PHRASES)
 _USABLE = {
     "email": r"regexp_matches(email, '^[^\s@]+@[^\s@]+\.[^\s@]+$')",
     "linkedin": r"regexp_matches(linkedin, '(?i)linkedin\.[a-z]+/company/[^/?#\s]+')",
     "description": r"NOT regexp_matches(description, '(?i)(?:…|\.\.\.|[\[(](?:read )?more[\])])\s*$')"
     r" AND regexp_matches(description, '[.!?][^\p{L}\p{N}\s]*$|[.!?][^\s]{0,10}[^\x00-\x7F]$')"
-    f" AND NOT (length(description) <= 200 AND regexp_matches(lower(description), '{_NOTICE}'))",
+    f" AND NOT ({_NOTICE})",
     "source_used": "lower(source_used) NOT IN ('not_found', 'not found')",
 }
 _ROWS = f"""SELECT *, {_SCORE} AS score, try_cast(CASE WHEN regexp_matches(stamp, '(?i)(z|[+-]\\d\\d:?\\d\\d)$') THEN stamp

@@ -54,7 +54,8 @@ def test_survivor_ties_and_nulls(spark):
     [
         (GOOD, True), ("We said “enough.”", True), ("N/A", False), ("Makes tools for...", False), ("Makes tools …", False),
         ("Makes tools [more]", False), ("Makes tools for sm", False), ("Error 404: the requested page could not be found.", False),
-        ("The domain x.io is parked and may be for sale.", False), ("Loading, please wait", False), ("x" * 100_000 + ".", True), (None, False),
+        ("The domain x.io is parked and may be for sale.", False), ("Loading, please wait", False), ("We sell page builders. Our cookie policy is short. You find us in Bonn. Call us today.", True),
+        ("Access to this page was denied. " + "Incident number and more of that kind. " * 50, False), ("Error 404. Page not found. Go home.", False), ("x" * 100_000 + ".", True), (None, False),
     ],
 )
 def test_descriptions(spark, text, ok):
