@@ -25,7 +25,7 @@ from ledgerloom.operators.clean import clean, in_output_order, standard_columns,
 from ledgerloom.operators.enrich import FAILED, domains_to_fetch, enrich, enrichment_stats, prompt_text, render_prompt, split_done
 from ledgerloom.operators.score import score_dataframe
 from ledgerloom.operators.validate import findings, log_summary, report, save_report
-from ledgerloom.runtime import remove, write_text
+from ledgerloom.runtime import remove, small_methods, write_text
 from ledgerloom.schema import Settings
 from ledgerloom.sources.export import export_csv, has_checkpoint, read_checkpoint, write_checkpoint
 from ledgerloom.sources.html import ABOUT_PATHS, CONTACT_PATHS, LEADERSHIP_PATHS, extract_pages, full_text, sub_page_text
@@ -110,7 +110,7 @@ class Pipeline:
         return read_checkpoint(self.spark, self.path(step))
 
     def run(self, step: str, pages: DataFrame | None = None, answers: DataFrame | None = None):
-        with timed(step, self.timings):
+        with timed(step, self.timings), small_methods(self.spark):
             return getattr(self, f"_{step}")(*((pages, answers) if step == "enrich" else ()))
 
     def summary(self) -> dict[str, float]:

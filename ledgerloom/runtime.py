@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{fallback}"
 
 
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """For actions within: stages of more code than the JVM compiles (8000 bytes a method) run operator by operator.
+
+    Spark's own limit is eight times as high, and what lies between is interpreted, at twice the time.
+    """
+    before = spark.conf.get(_METHOD_LIMIT, None)
+    spark.conf.set(_METHOD_LIMIT, "8000")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_METHOD_LIMIT)
+        else:
+            spark.conf.set(_METHOD_LIMIT, before)
+
+
 def cut(df: DataFrame, *by: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder once and read it back. `by`: columns with a folder per value.
 
@@ -34,7 +56,8 @@ def cut(df: DataFrame, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     w = df.write.option("compression", "zstd")
-    (w.partitionBy(*by) if by else w).parquet(path)
+    with small_methods(spark):
+        (w.partitionBy(*by) if by else w).parquet(path)
     fs, at = _place(spark, path)
     fs.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
