@@ -6,18 +6,20 @@ spellings of a name, legal, illegal and missing values of every field in fixed c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as X
-from ledgerloom.functions.nulls import NA_WORDS, SPACES, clean_str, safe_str
-from ledgerloom.functions.similarity import similar_pairs, sorted_words
+from ledgerloom.functions.nulls import NA_WORDS, SPACES, clean_str, safe_str, strip
+from ledgerloom.functions.similarity import partial_ratio_udf, similar_pairs, sorted_words
 from ledgerloom.operators import clean, enrich, score, validate
 from ledgerloom.operators.clean import ORD
-from ledgerloom.runtime import cut, table
+from ledgerloom.runtime import cut, shared_dir, table
 from ledgerloom.schema import COMPLETENESS_FIELDS, STANDARD_COLUMNS, STATUSES, Settings
-from ledgerloom.sources.export import column_profile
-from ledgerloom.sources.html import extract_pages
+from ledgerloom.sources.export import column_profile, export_csv, read_checkpoint
+from ledgerloom.sources.html import ABOUT_PATHS, extract_pages, scrape_state, sub_page_text
 
 RAW = """
 SELECT k AS rid,
@@ -605,15 +607,26 @@ def prompts(spark, d):
 PAGE_KINDS = {"about": "about", "leadership": "team", "contact": "contact"}
 
 
+SALTS = 32
+
+
 def site_prompts(documents: DataFrame, settings: Settings) -> DataFrame:
-    """source, prompt: per host the texts of its documents by page kind (others count as home), in the order of doc_id."""
+    """source, prompt: per host the texts of its documents by page kind (others count as home), in the order of doc_id.
+
+    A prompt holds a budget of words, so a text is needed only if less than that stands before it. That is asked within
+    salted parts of a host first, so no group holds more than SALTS budgets per kind of page, however many pages a host has.
+    """
     kind = F.lit("home")
     for name, slot in PAGE_KINDS.items():
         kind = F.when(F.lower(F.trim("page_kind")) == name, slot).otherwise(kind)
-    texts = documents.filter("source IS NOT NULL AND trim(text) != ''").select("source", "doc_id", "text", kind.alias("slot"))
+    texts = documents.filter(F.col("source").isNotNull() & (strip(F.col("text")) != "")).select("source", "doc_id", "text", kind.alias("slot"))
     # no text beyond the budget of words can be in the prompt, so the long ones are cut before they are collected
-    cut = texts.withColumn("text", X.token_budget(F.col("text"), settings.max_prompt_tokens))
-    joined = cut.groupBy("source").agg(
+    most = settings.max_prompt_tokens
+    texts = texts.withColumn("text", X.token_budget(F.col("text"), most)).withColumn("_w", X.count_words(F.col("text")))
+    part = Window.partitionBy("source", "slot", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    before = F.sum("_w").over(part.orderBy("doc_id", "text").rowsBetween(Window.unboundedPreceding, -1))
+    near = texts.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < most)
+    joined = near.groupBy("source").agg(
         *[
             F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("slot") == n, F.struct("doc_id", "text")))), lambda t: t["text"]), "\n\n").alias(n)
             for n in ("about", "team", "home", "contact")
@@ -623,9 +636,24 @@ def site_prompts(documents: DataFrame, settings: Settings) -> DataFrame:
     return joined.select("source", enrich.render_prompt(F.coalesce(text, F.lit("")), F.col("source")).alias("prompt"))
 
 
-@query()
+def _prompts_sql() -> str:
+    space = " || ".join(f"chr({ord(ch)})" for ch in SPACES)
+    slot = "CASE lower(trim(page_kind)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PAGE_KINDS.items()) + " ELSE 'home' END"
+    parts = ", ".join(f"max(t) FILTER (slot = '{n}')" for n in ("about", "team", "home", "contact"))
+    most = Settings().max_prompt_tokens
+    words = _WORDS.replace("text", "x")
+    template = enrich.PROMPT.replace("'", "''")
+    return f"""SELECT source, md5(replace(replace('{template}', '{{website_text}}', CASE WHEN len(w) > {most} THEN array_to_string(w[1:{most}], ' ') ELSE x END),
+      '{{company_name}}', source)) AS prompt FROM (SELECT source, x, {words} AS w FROM (SELECT source, array_to_string(list_filter([{parts}], lambda p: p IS NOT NULL),
+      chr(10) || chr(10)) AS x FROM (SELECT source, slot, trim(string_agg(text, chr(10) || chr(10) ORDER BY doc_id), {space}) AS t FROM (SELECT source, doc_id,
+      text, {slot} AS slot FROM documents WHERE source IS NOT NULL AND trim(text, {space}) <> '') a GROUP BY source, slot) b GROUP BY source) c) d"""
+
+
 def prompt_texts(spark, d):
-    return site_prompts(table(spark, d, "documents"), Settings())
+    return site_prompts(table(spark, d, "documents"), Settings()).withColumn("prompt", F.md5("prompt"))
+
+
+QUERIES["prompt_texts"] = prompt_texts
 
 
 @query(
@@ -778,3 +806,76 @@ def top_events(spark, d):
 def elapsed(spark, d):
     s = (F.col("o_orderkey") % 7300).cast("double")
     return table(spark, d, "orders").select("o_orderkey", X.format_elapsed(s).alias("elapsed"))
+
+
+SQL["prompt_texts"] = _prompts_sql()
+
+
+@query(
+    f"""SELECT rid, CASE WHEN length(w) >= 4 AND length(r) >= 3 THEN round({_partial('short', 'long')}, 4) END AS score FROM (SELECT rid, w, r,
+    CASE WHEN length(w) <= length(r) THEN w ELSE r END AS short, CASE WHEN length(w) <= length(r) THEN r ELSE w END AS long
+    FROM (SELECT rid, {_WORD} AS w, {_ROOT} AS r FROM {_CLEAN} c) c1) c2"""
+)
+def name_domain_scores(spark, d):
+    x = cut(cleaned(spark, d).select(F.col(ORD).alias("rid"), score.name_word(F.col("name")).alias("w"), score.domain_root(F.col("website")).alias("r")))
+    ask = (F.length("w") >= 4) & (F.length("r") >= 3)
+    return x.select("rid", F.round(partial_ratio_udf(F.when(ask, F.col("w")), F.when(ask, F.col("r"))), 4).alias("score"))
+
+
+_SITES = """SELECT k, 'https://s' || k || '.com' || CASE WHEN k % 2 = 0 THEN '/' ELSE '' END AS url FROM (SELECT cast(c_custkey AS bigint) AS k FROM {customer}) t"""
+# the page at one path has a text, the one before it is blank
+_SUBPAGES = """SELECT 'https://s' || k || '.com' || path AS url, CASE WHEN k % 4 = 1 AND path = '/about' THEN ' ' ELSE path || ' of ' || k END AS visible_text
+  FROM (SELECT cast(c_custkey AS bigint) AS k FROM {customer}) t, (VALUES ('/about'), ('/company'), ('/mission')) p(path) WHERE k % 4 < 3 AND (k % 4 > 0 OR path <> '/about')"""
+
+
+@query(
+    f"""SELECT s.url, arg_min(visible_text, list_position({list(ABOUT_PATHS)!r}, p.url[length(rtrim(s.url, '/')) + 1:])) AS about_text
+    FROM ({_SITES.replace("{customer}", "customer")}) s JOIN ({_SUBPAGES.replace("{customer}", "customer")}) p ON starts_with(p.url, rtrim(s.url, '/') || '/')
+    WHERE trim(visible_text) <> '' GROUP BY s.url"""
+)
+def sub_pages(spark, d):
+    customer = table(spark, d, "customer")
+    return sub_page_text(spark.sql(_SITES, customer=customer), spark.sql(_SUBPAGES, customer=customer), ABOUT_PATHS, "about_text")
+
+
+_FETCHES = """SELECT k, CASE WHEN k % 7 = 0 THEN ' ' WHEN k % 7 = 1 THEN NULL ELSE 'https://a.io/' || k END AS url, CASE WHEN k % 5 = 0 THEN true WHEN k % 5 = 1 THEN false END
+  AS cached, CASE WHEN k % 3 = 0 THEN true WHEN k % 3 = 1 THEN false END AS allowed, cast(CASE WHEN k % 4 = 0 THEN 200 WHEN k % 4 = 1 THEN 404 WHEN k % 4 = 2 THEN 204 END AS int)
+  AS code, CASE WHEN k % 11 > 3 THEN true WHEN k % 11 = 0 THEN false END AS parsed FROM (SELECT cast(c_custkey AS bigint) AS k FROM {customer}) t"""
+
+
+@query(
+    f"""SELECT k, CASE WHEN coalesce(trim(url), '') = '' THEN 'empty_url' WHEN cached THEN 'cache_hit' WHEN NOT allowed THEN 'robots_blocked'
+    WHEN code IS NULL OR code NOT BETWEEN 200 AND 299 THEN 'fetch_failed' WHEN parsed IS NULL OR NOT parsed THEN 'parse_error' ELSE 'success' END AS state
+    FROM ({_FETCHES.replace("{customer}", "customer")}) f"""
+)
+def scrape_states(spark, d):
+    x = spark.sql(_FETCHES, customer=table(spark, d, "customer"))
+    return x.select("k", scrape_state(*[F.col(c) for c in ("url", "cached", "allowed", "code", "parsed")]).alias("state"))
+
+
+@query(
+    f"""SELECT rid, CASE WHEN website IS NULL THEN NULL WHEN k % 3 = 0 THEN 'moved' || k % 100 || '.org' ELSE website END AS website
+    FROM (SELECT rid, website, min(rid) OVER (PARTITION BY website) AS k FROM {_CLEAN} c) x"""
+)
+def redirects(spark, d):
+    x = cut(cleaned(spark, d))
+    first = x.filter("website IS NOT NULL").groupBy("website").agg(F.min(ORD).alias("k"))
+    to = F.when(F.col("k") % 3 == 0, F.concat(F.lit("http://www.moved"), F.col("k") % 100, F.lit(".org/new?x")))
+    found = first.select(F.concat(F.lit("https://www."), "website").alias("url"), to.alias("final_url"), F.when(to.isNotNull(), 1).otherwise(0).alias("redirect_count"))
+    return enrich.follow_redirects(x, found, Settings()).select(F.col(ORD).alias("rid"), "website")
+
+
+@query(f"SELECT coalesce(name, '') AS name, coalesce(phone, '') AS phone, coalesce(email, '') AS email, coalesce(founder, '') AS founder FROM {_CLEAN} c")
+def export_round_trip(spark, d):
+    """What is written as one delimited file and read again, with blanks for what is missing."""
+    path = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}.csv"
+    export_csv(cleaned(spark, d).select("name", "phone", "email", "founder", F.lit(1).alias("_internal")), path, single=True)
+    back = read_checkpoint(spark, path)
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in back.columns])
+
+
+@query(
+    f"SELECT {', '.join(f'{c}' if c in ('name', 'website', 'email') else f"'' AS {c}" for c in STANDARD_COLUMNS)} FROM {_CLEAN} c"
+)
+def standard_projection(spark, d):
+    return clean.standard_columns(cleaned(spark, d).select("email", "name", "website", F.lit(1).alias("other")))

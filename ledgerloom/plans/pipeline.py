@@ -28,7 +28,7 @@ from ledgerloom.operators.validate import findings, log_summary, report, save_re
 from ledgerloom.runtime import remove, small_methods, write_text
 from ledgerloom.schema import Settings
 from ledgerloom.sources.export import export_csv, has_checkpoint, read_checkpoint, write_checkpoint
-from ledgerloom.sources.html import ABOUT_PATHS, CONTACT_PATHS, LEADERSHIP_PATHS, extract_pages, full_text, sub_page_text
+from ledgerloom.sources.html import ABOUT_PATHS, CONTACT_PATHS, LEADERSHIP_PATHS, extract_pages, full_text, scrape_state, sub_page_text
 from ledgerloom.sources.loader import list_files, load_all
 from ledgerloom.sources.providers import PAGE_SCHEMA, HttpFetcher, ask_model, fetch_pages
 
@@ -145,6 +145,7 @@ class Pipeline:
         _, todo = split_done(self.read("clean"), s.skip_found)
         if pages is None:
             pages = spark.createDataFrame([], PAGE_SCHEMA)
+        pages = pages.drop("cached", "state")
         if "fetched_at" not in pages.columns:
             pages = pages.withColumn("fetched_at", F.current_timestamp())
         facts = pages.select(cache_domain(F.col("url")).alias("domain"), "fetched_at")
@@ -154,7 +155,10 @@ class Pipeline:
         newest = Window.partitionBy("url").orderBy(F.desc("fetched_at"))
         both = new.unionByName(pages, allowMissingColumns=True).withColumn("_n", F.row_number().over(newest))
         where = f"{self.output}/tables"
-        write_checkpoint(both.filter("_n = 1").drop("_n"), f"{where}/pages")
+        both = both.filter("_n = 1").drop("_n")
+        known = both.join(pages.select("url", F.lit(True).alias("cached")).distinct(), "url", "left")
+        state = scrape_state(F.col("url"), F.col("cached"), ~F.coalesce(F.col("error") == "robots_blocked", F.lit(False)), F.col("status_code"), F.col("html").isNotNull())
+        write_checkpoint(known.withColumns({"cached": F.coalesce("cached", F.lit(False)), "state": state}), f"{where}/pages")
         pages = read_checkpoint(spark, f"{where}/pages")
         names = todo.groupBy(cache_domain(F.coalesce("website", "linkedin")).alias("key")).agg(F.min("name").alias("name"))
         text = prompt_text(F.col("about_text"), F.col("team_text"), F.col("visible_text"), F.col("contact_text"), s)
