@@ -18,12 +18,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ledgerloom.functions.nulls import clean_str
-from ledgerloom.functions.text import EMAIL_RE, norm_domain, person_ok, phone_ok, score_int, to_utc  # noqa: F401
+from ledgerloom.functions.text import EMAIL_RE, norm_domain, person_ok, phone_ok, to_utc
 
 
 @dataclass(frozen=True)
