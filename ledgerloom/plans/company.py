@@ -384,7 +384,7 @@ def score_records(spark, d):
 
 
 @query(
-    "SELECT st AS status, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share, round(avg(score), 2) AS average_score"
+    "SELECT st AS status, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share, round(cast(avg(score) AS decimal(30, 10)), 2)::double AS average_score"
     f" FROM {_SCORED} GROUP BY st"
 )
 def status_breakdown(spark, d):
@@ -467,7 +467,7 @@ _COUNTERS = ", ".join(
         *[f"count(*) FILTER ({_STATE} = '{x}') AS status_{x.lower()}" for x in STATUSES],
         *[f"count({c}) AS filled_{c}" for c in COMPLETENESS_FIELDS],
         "count(*) FILTER (ceo IS NULL) AS missing_ceo, count(*) FILTER (founder IS NULL) AS missing_founder",
-        f"round(avg({_POINTS}), 2) AS average_score, cast(min({_POINTS}) AS int) AS min_score, cast(max({_POINTS}) AS int) AS max_score",
+        f"round(cast(avg({_POINTS}) AS decimal(30, 10)), 2)::double AS average_score, cast(min({_POINTS}) AS int) AS min_score, cast(max({_POINTS}) AS int) AS max_score",
     ]
 )
 @query(f"SELECT {_COUNTERS} FROM {_VALIDATED} w")
