@@ -563,6 +563,31 @@ def test_history_is_read_without_a_shuffle(spark, tmp_path):
     h.close()
 
 
+def test_a_write_makes_one_file_per_bucket(spark, tmp_path):
+    rows = [dict(row_id=i, company_id=f"c{i}", name=f"Name {i} Works", website=f"w{i}.example", email=f"a{i}@x.example") for i in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    h = incremental.History(spark, f"file://{tmp_path}/h")
+    try:
+        sigs = incremental.signatures(companies(spark, *rows)).repartition(4)
+        h.load(sigs)
+        new = sigs.withColumn("row_id", F.col("row_id") + 1000).withColumn("delivery", F.lit(1))
+        h.add(incremental.with_heads(h.own(new)))
+        files = {t: len(list((tmp_path / "h" / t).glob("*.parquet"))) for t in h.COLUMNS if t != "shared"}
+        assert all(0 < n <= 2 * h.buckets for n in files.values()), files
+        assert h.table("companies").count() == 800
+    finally:
+        h.close()
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_many_batches(spark):
+    numbers = list(range(0, 3000, 2))
+    rows = [(n, k // 10 + 1) for k, n in enumerate(numbers)] + [(None, 151)]
+    df = spark.createDataFrame(rows, "batch_no int, expected int")
+    assert df.filter(incremental.deliveries(F.col("batch_no"), numbers, 10) != F.col("expected")).count() == 0
+    assert df.filter("batch_no IS NULL").select(incremental.deliveries(F.col("batch_no"), [], 10)).first()[0] == 1
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, sf, name):
     df = queries.QUERIES[name](spark, sf)
