@@ -142,11 +142,17 @@ def redirected(requested: Column, final: Column) -> Column:
 
 
 def sub_page_text(sites: DataFrame, pages: DataFrame, paths: tuple[str, ...], to: str) -> DataFrame:
-    """Per site url the text of the first of the paths that has one. pages: url, visible_text."""
-    tries = sites.select("url", F.posexplode(F.array(*[F.lit(p) for p in paths])).alias("pos", "path"))
-    tries = tries.withColumn("_page", F.concat(F.regexp_replace("url", "/+$", ""), "path"))
-    known = pages.select(F.col("url").alias("_page"), "visible_text").filter("trim(visible_text) != ''")
-    return tries.join(known, "_page").groupBy("url").agg(F.min_by("visible_text", "pos").alias(to))
+    """Per site url the text of the first of the paths that has one. pages: url, visible_text.
+
+    A page's url is taken apart into site and path; sites aren't multiplied by paths. What Spark estimates of either side
+    is the size of the columns read, not of the texts made of them, so the join is never a broadcast.
+    """
+    bare = lambda p: F.expr(f"left(url, length(url) - {len(p)})")
+    ends = [F.when(F.col("url").endswith(p), F.struct(bare(p).alias("site"), F.lit(i).alias("pos"))) for i, p in enumerate(paths)]
+    known = pages.filter("trim(visible_text) != ''").select("visible_text", F.explode(F.array_compact(F.array(*ends))).alias("e"))
+    texts = known.groupBy("e.site").agg(F.min_by("visible_text", "e.pos").alias(to))
+    asked = sites.select("url", F.regexp_replace("url", "/+$", "").alias("site")).distinct()
+    return asked.join(texts.hint("merge"), "site").select("url", to)
 
 
 def scrape_state(url: Column, cached: Column, allowed: Column, status_code: Column, parsed: Column) -> Column:

@@ -245,6 +245,15 @@ def test_sub_pages(spark):
     assert [tuple(r) for r in html.sub_page_text(sites, known, html.ABOUT_PATHS, "about_text").collect()] == [("https://a.io/", "we")]
 
 
+def test_sub_pages_are_neither_multiplied_nor_broadcast(spark):
+    sites = spark.createDataFrame([("https://a.io",), ("https://a.io/",), ("https://a.io/our",), (None,)], "url string")
+    known = spark.createDataFrame([("https://a.io/our/team", "our"), ("https://a.io/team", "team"), ("https://b.io/team", "b"), (None, "c")], "url string, visible_text string")
+    got = html.sub_page_text(sites, known, ("/our/team", "/team"), "text")
+    assert {tuple(r) for r in got.collect()} == {("https://a.io", "our"), ("https://a.io/", "our"), ("https://a.io/our", "our")}
+    plan = got._jdf.queryExecution().optimizedPlan().toString() + got._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in plan and "posexplode" not in plan
+
+
 def test_answers(spark):
     raws = ['{"description":" x ","company_size":"11-50","confidence_score":"250"}', "no json", None, '{"company_size":"9"}']
     df = spark.createDataFrame([(r,) for r in raws], "raw string")
