@@ -145,6 +145,16 @@ def test_hot_grams_are_split(spark, monkeypatch):
     assert {(r["left"], r["right"]) for r in got.collect()} == expected
 
 
+def test_short_texts_meet_on_whole_subsequences_only(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "_grams", lambda *_: pytest.fail("pairs that share a gram grow with the square of the texts"))
+    rng = random.Random(7)
+    names = {"".join(rng.choices("0123456789aB", k=12)) + " Inc" for _ in range(60)}
+    names |= {n[:i] + n[i + 1 :] for n in names for i in (2, 9)} | {n[:5] + "a" + n[6:] for n in names}
+    expected = {p for p in itertools.combinations(sorted(names), 2) if indel_ratio(*p) >= 90}
+    got = similar_pairs(spark.createDataFrame([(n,) for n in names], "key string"), 90)
+    assert {(r["left"], r["right"]) for r in got.collect()} == expected and expected
+
+
 @pytest.mark.parametrize("threshold", [0, -1, 101])
 def test_thresholds_are_checked(spark, threshold):
     with pytest.raises(ValueError):
