@@ -66,18 +66,22 @@ def drop_exact_duplicates(df: DataFrame, keys=("name", "website", "linkedin")) -
 
 
 def match_edges(df: DataFrame, threshold: float) -> DataFrame:
-    """a, b: rows of one entity, as a star per equal website and per equal sorted name, plus links of similar names."""
+    """a, b: rows of one entity, as a star per equal website and per equal sorted name, plus links of similar names.
+
+    All sides grow with the rows, and files of written steps are several times smaller than their rows in memory, so no side
+    is left to be broadcast for its estimated size.
+    """
     rows = df.select(F.col(ORD).alias("i"), "website", sorted_words(F.col("name")).alias("key"))
 
     def star(c: str) -> DataFrame:
         first = rows.filter(F.col(c).isNotNull()).groupBy(c).agg(F.min("i").alias("first"))
-        return rows.join(first, c).filter("i != first").select(F.col("i").alias("a"), F.col("first").alias("b"))
+        return rows.join(first.hint("merge"), c).filter("i != first").select(F.col("i").alias("a"), F.col("first").alias("b"))
 
     first = cut(rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("i").alias("first")))
     pairs = similar_pairs(first, threshold)
     left = first.select(F.col("key").alias("left"), F.col("first").alias("a"))
     right = first.select(F.col("key").alias("right"), F.col("first").alias("b"))
-    similar = pairs.join(left, "left").join(right, "right").select("a", "b")
+    similar = pairs.join(left.hint("merge"), "left").join(right.hint("merge"), "right").select("a", "b")
     return star("website").unionByName(star("key")).unionByName(similar)
 
 
@@ -85,7 +89,7 @@ def cluster(df: DataFrame, threshold: float = 90) -> DataFrame:
     """df with `cluster`, the smallest `_row_ord` of each row's entity."""
     comp = connected_components(match_edges(df, threshold))
     return (
-        df.join(comp.withColumnRenamed("node", ORD), ORD, "left")
+        df.join(comp.withColumnRenamed("node", ORD).hint("merge"), ORD, "left")
         .withColumn("cluster", F.coalesce("component", ORD))
         .drop("component")
     )

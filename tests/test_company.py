@@ -115,6 +115,12 @@ def test_cleaning_twice_changes_nothing(spark):
     assert df.collect() == again.collect()
 
 
+def test_linked_rows_are_not_broadcast(spark):
+    df = frame(spark, GOOD, dict(name="Acme Corporatio", website="x.com"), dict(name="Other", website="acme.com"), dict(name="corporation acme"))
+    edges = clean.match_edges(clean.with_order(df), 90)
+    assert "Broadcast" not in edges._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_clean_empty(spark):
     assert clean.clean(frame(spark).limit(0)).count() == 0
 
