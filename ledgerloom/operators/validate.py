@@ -58,12 +58,12 @@ def duplicate_names(df: DataFrame, threshold: float = 92) -> DataFrame:
     a = names.select(F.col("key").alias("left"), F.col("first").alias("a"))
     b = names.select(F.col("key").alias("right"), F.col("first").alias("b"))
     edges = cut(
-        pairs.join(a, "left").join(b, "right").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs.join(a.hint("merge"), "left").join(b.hint("merge"), "right").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
     led = first_leaders(edges).withColumnsRenamed({"node": "first"})
-    named = names.join(led, "first", "left")
+    named = names.join(led.hint("merge"), "first", "left")
     return (
-        rows.join(named, "key")
+        rows.join(named.hint("merge"), "key")
         .select(F.col("i").alias("row"), F.coalesce("leader", "first").alias("leader"))
         .filter("row != leader")
     )
@@ -75,13 +75,13 @@ def first_leaders(edges: DataFrame) -> DataFrame:
     """
     out = edges.select(F.col("b").alias("node"), F.col("a").alias("leader")).limit(0)
     while not edges.isEmpty():
-        leads = edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_anti").distinct()
-        new = cut(edges.join(leads, "a").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader")))
+        leads = edges.select("a").join(edges.select(F.col("b").alias("a")).hint("merge"), "a", "left_anti").distinct()
+        new = cut(edges.join(leads.hint("merge"), "a").groupBy(F.col("b").alias("node")).agg(F.min("a").alias("leader")))
         out = out.unionByName(new)
         gone = new.select("node").unionByName(leads.select(F.col("a").alias("node")))
         rest = edges
         for end in ("a", "b"):
-            rest = rest.join(gone.select(F.col("node").alias(end)), end, "left_anti")
+            rest = rest.join(gone.select(F.col("node").alias(end)).hint("merge"), end, "left_anti")
         before, edges = edges, cut(rest)
         discard(before)
     return out
